@@ -1,0 +1,29 @@
+"""Queries of the general training-data problems (2 and 5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.setsketch import NearDuplicates
+from ..session import table
+
+SIMILAR = 0.7
+
+
+def stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tab, id, text) of all chunks and extracts."""
+    c = table(spark, sf_dir, "chunks").select(F.lit("chunks").alias("tab"), F.col("chunk_id").alias("id"), "text")
+    e = table(spark, sf_dir, "extracts").select(F.lit("extracts").alias("tab"), F.col("extract_id").alias("id"), F.col("content").alias("text"))
+    return c.union(e)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(stored_texts(spark, sf_dir), SIMILAR).pairs()
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(stored_texts(spark, sf_dir), SIMILAR).groups()
+
+
+QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups}

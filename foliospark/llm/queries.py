@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import lookalike
+from . import lookalike, site_lines
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +28,13 @@ def p1_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.consistent_form(chunks.union(extracts), "text").select("tab", "id", "form")
 
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p1_form": p1_form}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content")
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.without_site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content").select("extract_id", "content")
+
+
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p1_form": p1_form, "p4_found": p4_found, "p4_clean": p4_clean}
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import lookalike, site_lines
+from . import leaks, lookalike, site_lines
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,5 +36,9 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content").select("extract_id", "content")
 
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p1_form": p1_form, "p4_found": p4_found, "p4_clean": p4_clean}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p4_found, p4_clean, p7_found)}
 SQL: dict[str, str] = {}

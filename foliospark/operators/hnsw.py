@@ -1,0 +1,295 @@
+"""Problem 2: the most similar vectors for every vector.
+
+Vectors are routed to shards by coarse centroids. Each shard holds a hierarchical navigable small-world graph as flat
+arrays of neighbours. Inserting and searching advance many vectors in step, so that every hop is one numpy operation
+over the whole batch. Each vector is searched in its nearest shards, and the shards' results are merged.
+
+Vectors that are equal bit by bit are one class, of which only one is indexed; its copies come in when results are merged.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import cut
+from .joins import salted_join
+
+M, EF_BUILD, EF_SEARCH = 12, 48, 48
+SAMPLE = 20_000  # vectors that the centroids are fitted on, at most; every vector is indexed
+SHARD = 4096  # vectors aimed at in a shard
+MOST_CENTROIDS = 4096
+PROBES = 6  # shards that each vector is searched in
+BATCH = 256
+
+
+class Hnsw:
+    """Graph over the rows of a float32 matrix of unit vectors; similarity is the inner product."""
+
+    def __init__(self, x: np.ndarray, m: int = M, ef: int = EF_BUILD, seed: int = 11):
+        self.x, self.m, self.ef = np.ascontiguousarray(x, np.float32), m, ef
+        n = len(x)
+        rng = np.random.default_rng(seed)
+        level = np.minimum((-np.log(rng.random(n) + 1e-12) / np.log(m)).astype(int), 5)
+        if n:
+            level[0] = level.max()  # the first row is the entry point
+        self.level = level
+        # Layer 0 has all rows and 2m neighbours; each higher layer has its rows' places in a map.
+        self.near = [np.full((n, 2 * m if lv == 0 else m), -1, np.int32) for lv in range(level.max() + 1 if n else 1)]
+        done = 1
+        while done < n:
+            size = min(BATCH, max(1, done), n - done)
+            self._insert(np.arange(done, done + size))
+            done += size
+
+    def _scores(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return np.einsum("bkd,bd->bk", self.x[ids], q)
+
+    def _beam(self, q: np.ndarray, enter: np.ndarray, layer: int, ef: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of ``q`` the ``ef`` best rows found from the given entries: ids, -1 where there are fewer, and
+        scores, best first."""
+        near, nq, width = self.near[layer], len(q), self.near[layer].shape[1]
+        ids = np.full((nq, ef), -1, np.int32)
+        sim = np.full((nq, ef), -np.inf, np.float32)
+        open_ = np.zeros((nq, ef), bool)
+        k = enter.shape[1]
+        ids[:, :k], sim[:, :k], open_[:, :k] = enter, self._scores(q, enter), True
+        seen = np.zeros((nq, len(self.x)), bool)
+        rows = np.arange(nq)
+        seen[rows[:, None], enter] = True
+        active = rows
+        while len(active):
+            wait = np.where(open_[active], sim[active], -np.inf)
+            best = wait.argmax(1)
+            alive = wait[np.arange(len(active)), best] > -np.inf
+            active, best = active[alive], best[alive]
+            if not len(active):
+                break
+            open_[active, best] = False
+            to = near[ids[active, best]]
+            new = (to >= 0) & ~seen[active[:, None], to]
+            seen[active[:, None], np.where(to >= 0, to, ids[active, best][:, None])] = True
+            s = np.where(new, self._scores(q[active], np.maximum(to, 0)), -np.inf)
+            all_sim = np.concatenate([sim[active], s], 1)
+            keep = np.argpartition(-all_sim, ef - 1, axis=1)[:, :ef]
+            at = np.arange(len(active))[:, None]
+            all_ids = np.concatenate([ids[active], to], 1)
+            all_open = np.concatenate([open_[active], new], 1)
+            sim[active], ids[active], open_[active] = all_sim[at, keep], all_ids[at, keep], all_open[at, keep]
+        order = np.argsort(-sim, axis=1, kind="stable")
+        ids, sim = np.take_along_axis(ids, order, 1), np.take_along_axis(sim, order, 1)
+        return np.where(np.isfinite(sim), ids, -1), sim
+
+    def _choose(self, ids: np.ndarray, sim: np.ndarray, width: int) -> np.ndarray:
+        """The neighbours kept of candidates sorted best first: one that is nearer to a kept one than to the row
+        itself is left for the places that stay free."""
+        n, c = ids.shape
+        vec = self.x[np.maximum(ids, 0)]
+        among = np.einsum("bid,bjd->bij", vec, vec)
+        ok = ids >= 0
+        taken = np.zeros((n, c), bool)
+        count = np.zeros(n, int)
+        for i in range(c):
+            close = (np.where(taken, among[:, i, :], -np.inf).max(1) > sim[:, i]) if i else np.zeros(n, bool)
+            take = ok[:, i] & ~close & (count < width)
+            taken[:, i] = take
+            count += take
+        rank = np.where(taken, 0, 1) * c + np.arange(c) + np.where(ok, 0, 4 * c)
+        order = np.argsort(rank, axis=1, kind="stable")[:, :width]
+        out = np.take_along_axis(np.where(ok, ids, -1), order, 1)
+        return np.pad(out, ((0, 0), (0, width - out.shape[1])), constant_values=-1)
+
+    def _insert(self, new: np.ndarray) -> None:
+        """Links a batch of rows: to what is in the graph, by searching it, and to each other, by one product."""
+        q = self.x[new]
+        top = len(self.near) - 1
+        enter = np.zeros((len(new), 1), np.int32)
+        within = q @ q.T
+        np.fill_diagonal(within, -np.inf)
+        for layer in range(top, -1, -1):
+            here = self.level[new] >= layer
+            ef = self.ef if here.any() else 1
+            ids, sim = self._beam(q, enter, layer, ef)
+            enter = np.maximum(ids[:, :1], 0)
+            if not here.any():
+                continue
+            a = np.flatnonzero(here)
+            w = np.where(here[None, :], within[a], -np.inf)
+            near = np.argsort(-w, axis=1, kind="stable")[:, : self.ef]
+            mates, mate_sim = new[near].astype(np.int32), np.take_along_axis(w, near, 1)
+            all_ids = np.concatenate([ids[a], np.where(np.isfinite(mate_sim), mates, -1)], 1)
+            all_sim = np.concatenate([sim[a], mate_sim], 1)
+            order = np.argsort(-all_sim, axis=1, kind="stable")[:, : self.ef]
+            all_ids, all_sim = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_sim, order, 1)
+            width = self.near[layer].shape[1]
+            chosen = self._choose(all_ids, all_sim, self.m)
+            self.near[layer][new[a], : self.m] = chosen
+            self.near[layer][new[a], self.m :] = -1
+            # Back links, gathered for each target; overfull rows choose again.
+            src, dst = np.repeat(new[a], self.m), chosen.ravel()
+            src, dst = src[dst >= 0], dst[dst >= 0]
+            order = np.argsort(dst, kind="stable")
+            src, dst = src[order], dst[order]
+            targets, first, count = np.unique(dst, return_index=True, return_counts=True)
+            most = int(count.max()) if len(count) else 0
+            if not most:
+                continue
+            table = np.full((len(targets), most), -1, np.int32)
+            table[np.repeat(np.arange(len(targets)), count), np.arange(len(dst)) - np.repeat(first, count)] = src
+            old = self.near[layer][targets]
+            twice = (table[:, :, None] == old[:, None, :]).any(2)
+            cand = np.concatenate([old, np.where(twice, -1, table)], 1)
+            s = np.where(cand >= 0, self._scores(self.x[targets], np.maximum(cand, 0)), -np.inf)
+            order = np.argsort(-s, axis=1, kind="stable")
+            cand, s = np.take_along_axis(cand, order, 1), np.take_along_axis(s, order, 1)
+            full = (cand >= 0).sum(1) > width
+            self.near[layer][targets[~full]] = cand[~full][:, :width] if cand.shape[1] >= width else np.pad(cand[~full], ((0, 0), (0, width - cand.shape[1])), constant_values=-1)
+            for i in range(0, int(full.sum()), 512):
+                part = np.flatnonzero(full)[i : i + 512]
+                self.near[layer][targets[part]] = self._choose(cand[part][:, : width + self.ef], s[part][:, : width + self.ef], width)
+
+    def search(self, q: np.ndarray, k: int, ef: int = EF_SEARCH) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` best rows for each query: ids, -1 where there are fewer, and scores."""
+        if not len(self.x):
+            return np.full((len(q), k), -1, np.int32), np.full((len(q), k), -np.inf, np.float32)
+        out_i, out_s = [], []
+        for i in range(0, len(q), BATCH):
+            part = np.ascontiguousarray(q[i : i + BATCH], np.float32)
+            enter = np.zeros((len(part), 1), np.int32)
+            for layer in range(len(self.near) - 1, 0, -1):
+                ids, _ = self._beam(part, enter, layer, 4)
+                enter = np.maximum(ids[:, :1], 0)
+            ids, sim = self._beam(part, enter, 0, max(ef, k))
+            out_i.append(ids[:, :k]), out_s.append(sim[:, :k])
+        return np.concatenate(out_i), np.concatenate(out_s)
+
+
+def usable(embedding: Column, width: int) -> Column:
+    """Whether an embedding has exactly ``width`` finite numbers that are not all zero; false for null."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce((F.size(embedding) == width) & F.forall(embedding, finite) & F.exists(embedding, lambda x: x != 0), F.lit(False))
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _centroids(classes: DataFrame, n: int, width: int, seed: int = 5) -> np.ndarray:
+    """Unit centroids by spherical k-means over a sample of bounded size, the classes of smallest hash."""
+    k = int(np.clip(np.ceil(n / SHARD), 1, MOST_CENTROIDS))
+    most = max(SAMPLE, 8 * k)
+    rows = classes.select("vector").filter(F.abs(F.xxhash64("class") % 1_000_000) < int(min(1.0, 1.5 * most / max(n, 1)) * 1_000_000) + 1).limit(most).toArrow()
+    if k == 1 or not rows.num_rows:
+        return np.zeros((1, width))
+    x = _unit(_matrix(rows.column(0).combine_chunks(), width))
+    rng = np.random.default_rng(seed)
+    c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
+    for _ in range(12):
+        at = (x @ c.T).argmax(1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, at, x)
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        c = np.where(size > 0, sums / np.where(size > 0, size, 1), c)
+    return c
+
+
+def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width: int = 64) -> DataFrame:
+    """(key, neighbour, rank, similarity): the ``k`` most similar other vectors of each usable vector.
+
+    Similarity is the cosine rounded to six decimals; of equal similarities the smaller key comes first. Only
+    embeddings of ``width`` finite numbers, not all zero, take part. Every key counts by itself, repeated embeddings
+    included; keys must be unique and rows without one are left out. Fewer than ``k`` rows come out where there are
+    fewer other vectors. The search is approximate: recall against brute force is measured in the tests and README.
+    """
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<float>").alias("vector"))
+    # Adding zero makes -0.0 and 0.0 the same bits.
+    rows = rows.filter("id is not null").filter(usable(F.col("vector"), width)).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast("float")))
+    rows = cut(rows.withColumn("digest", F.sha2(F.array_join(F.transform("vector", lambda x: x.cast("string")), ","), 256)))
+    classes = cut(rows.groupBy("digest").agg(F.min("id").alias("class"), F.min("vector").alias("vector")).select("class", "vector", "digest"))
+    members = cut(salted_join(rows.select("digest", "id"), classes.select("digest", "class"), ["digest"], F.col("id")).select("class", "id"))
+    classes = classes.select("class", "vector")
+    n = classes.count()
+    centroids = _centroids(classes, n, width)
+    probes = min(PROBES, len(centroids))
+
+    def route(batches):
+        for b in batches:
+            x = _unit(_matrix(b.column(1), width))
+            order = np.argsort(-(x @ centroids.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(order), pa.list_(pa.int32()))], names=["class", "vector", "shards"])
+
+    routed = cut(classes.mapInArrow(route, "class long, vector array<float>, shards array<int>"))
+    # A shard that outgrew its size is cut into parts; a query goes to all parts of its shards.
+    sizes = routed.groupBy(F.col("shards")[0].alias("shard")).agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / (2 * SHARD)).cast("int")).drop("n")
+    indexed = salted_join(routed.withColumn("shard", F.col("shards")[0]), sizes, ["shard"], F.col("class"))
+    indexed = indexed.select("shard", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("asks"), "class", "vector")
+    asked = routed.select("class", "vector", F.explode("shards").alias("shard"))
+    asked = salted_join(asked, sizes, ["shard"], F.col("class")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asked = asked.select("shard", "part", F.lit(1).alias("asks"), "class", "vector")
+    tasks = max(2 * len(centroids), vectors.sparkSession.sparkContext.defaultParallelism)
+    parts = indexed.union(asked).repartition(tasks, "shard", "part").sortWithinPartitions("shard", "part", "asks", "class")
+
+    def search(batches):
+        """Rows come shard by shard, first those to index, then those that ask; only the former are held."""
+        at, ids, x, graph = None, [], [], None
+        for b in batches:
+            where = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()))
+            own, vec = b.column(3).to_numpy(), _unit(_matrix(b.column(4), width))
+            edges = [0, *[i for i in range(1, len(where)) if where[i] != where[i - 1]], len(where)]
+            for s, e in zip(edges, edges[1:]):
+                if s == e:
+                    continue
+                shard, part, asks = where[s]
+                if at != (shard, part):
+                    at, ids, x, graph = (shard, part), [], [], None
+                if not asks:
+                    ids.append(own[s:e]), x.append(vec[s:e])
+                    continue
+                if graph is None:
+                    base_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+                    base = np.concatenate(x) if x else np.zeros((0, width))
+                    graph = Hnsw(base)
+                for i in range(s, e, 2048):
+                    q, me = vec[i : min(i + 2048, e)], own[i : min(i + 2048, e)]
+                    found, _ = graph.search(q, k + 4)
+                    r, c = np.nonzero(found >= 0)
+                    other = base_ids[found[r, c]]
+                    sim = np.round(np.einsum("nd,nd->n", q[r], base[found[r, c]]), 6)
+                    ok = other != me[r]
+                    yield pa.RecordBatch.from_arrays([pa.array(me[r][ok]), pa.array(other[ok]), pa.array(sim[ok])], names=["class", "near", "similarity"])
+
+    found = parts.mapInArrow(search, "class long, near long, similarity double")
+    by_sim = F.row_number().over(_window("class", F.col("similarity").desc(), F.col("near")))
+    found = found.withColumn("r", by_sim).filter(F.col("r") <= k + 4).drop("r")
+    # Of each class, the k + 1 smallest members are all that can be a neighbour.
+    few = members.withColumn("r", F.row_number().over(_window("class", F.col("id")))).filter(F.col("r") <= k + 1).select("class", "id")
+    firsts = cut(few.groupBy("class").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    own = firsts.select("class", F.lit(1.0).alias("similarity"), "ids")
+    other = salted_join(found, firsts.withColumnRenamed("class", "near"), ["near"], F.col("class"), 4).select("class", "similarity", "ids")
+    lists = own.union(other).groupBy("class").agg(F.collect_list(F.struct("similarity", "ids")).alias("lists"))
+    flat = F.flatten(F.transform("lists", lambda p: F.transform(p["ids"], lambda i: F.struct((-p["similarity"]).alias("s"), i.alias("i")))))
+    lists = lists.select("class", F.slice(F.sort_array(flat), 1, k + 1 + 3).alias("best"))
+    mine = salted_join(members, lists, ["class"], F.col("id"))
+    best = F.slice(F.filter("best", lambda p: p["i"] != F.col("id")), 1, k)
+    out = mine.select("id", F.posexplode(best).alias("rank", "p"))
+    return out.select(F.col("id").alias(key), F.col("p.i").alias("neighbour"), (F.col("rank") + 1).alias("rank"), (-F.col("p.s")).alias("similarity"))
+
+
+def _window(part: str, *order: Column):
+    from pyspark.sql import Window
+
+    return Window.partitionBy(part).orderBy(*order)
+
+
+def similar_pairs(vectors: DataFrame, key: str, embedding: str, least: float, k: int = 5, width: int = 64) -> DataFrame:
+    """(vec_a, vec_b) of which at least one is among the ``k`` most similar of the other, the similarity at least
+    ``least``; the smaller key comes first and each pair once."""
+    near = neighbours(vectors, key, embedding, k, width).filter(F.col("similarity") >= least)
+    return near.select(F.least(key, "neighbour").alias("vec_a"), F.greatest(key, "neighbour").alias("vec_b")).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hnsw import neighbours, similar_pairs
 from ..operators.setsketch import NearDuplicates
 from ..session import table
 
@@ -26,4 +27,13 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDuplicates(stored_texts(spark, sf_dir), SIMILAR).groups()
 
 
-QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_pairs(table(spark, sf_dir, "vectors"), "vec_id", "embedding", 0.8)
+
+
+def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours of every vector; as a search's log would rank them."""
+    return neighbours(table(spark, sf_dir, "vectors"), "vec_id", "embedding")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_neighbours, p5_found, p5_groups)}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import leaks, lookalike, site_lines
+from . import leaks, lookalike, packing, site_lines, splitting
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,5 +40,27 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p4_found, p4_clean, p7_found)}
+def _limits(spark: SparkSession, sf_dir: str, purpose: str) -> list[tuple[int, int]]:
+    rows = table(spark, sf_dir, "token_limits").filter((F.col("purpose") == purpose) & F.col("max_tokens").isNotNull())
+    return sorted((r.max_tokens, r.overlap_tokens or 0) for r in rows.collect())  # a parameter table of five rows
+
+
+def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacities = [m for m, _ in _limits(spark, sf_dir, "pack")]
+    return packing.pack_all(table(spark, sf_dir, "documents"), "doc_id", "text", capacities)
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are: their number, the least number that their tokens need, and the unused share."""
+    boxes = p6_pack(spark, sf_dir).filter("container is not null").groupBy("max_tokens", "container").agg(F.sum("tokens").alias("tokens"))
+    out = boxes.groupBy("max_tokens").agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"))
+    least = F.ceil(F.col("tokens") / F.col("max_tokens"))
+    return out.withColumn("least", least).withColumn("unused", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("max_tokens")), 6))
+
+
+def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_texts(table(spark, sf_dir, "documents"), "doc_id", "text", _limits(spark, sf_dir, "split"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p4_found, p4_clean, p6_pack, p6_fill, p7_found, p8_split)}
 SQL: dict[str, str] = {}

@@ -11,6 +11,7 @@ threshold is 1 for all of them.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -22,7 +23,7 @@ from ..functions.textform import text_form
 from ..functions.words import words_of
 
 RUN = 12
-WINDOW, STRIDE = 24, 12  # each run of 12 words lies within a window: 24 - 12 >= 12
+WINDOW = 2  # runs that a passage is long, at most
 BLOCK = 64
 K1, B = 1.2, 0.75
 MOST_INDEX_WORDS = 2_000_000  # words of items in one index, some 200 MB; more items are indexed and searched in turn
@@ -49,46 +50,46 @@ class ItemIndex:
             least = min(sum(weight[t] for t in set(ids[s : s + run].tolist())) for s in range(len(ids) - run + 1))
             for t, x in weight.items():
                 postings[t].append((d, x / least * (1 + 1e-9)))
-        self.docs = {t: np.array([d for d, _ in p], np.int64) for t, p in postings.items()}
-        self.scores = {t: np.array([x for _, x in p]) for t, p in postings.items()}
-        self.block_max = {t: [float(s[i : i + BLOCK].max()) for i in range(0, len(s), BLOCK)] for t, s in self.scores.items()}
+        self.docs = {t: [d for d, _ in p] for t, p in postings.items()}
+        self.scores = {t: [x for _, x in p] for t, p in postings.items()}
+        self.block_max = {t: [max(s[i : i + BLOCK]) for i in range(0, len(s), BLOCK)] for t, s in self.scores.items()}
         self.bound = np.zeros(len(self.terms) + 1)  # the last place is for words that no item has
         for t, s in self.scores.items():
-            self.bound[t] = s.max()
+            self.bound[t] = max(s)
+        self.bounds = self.bound.tolist()
         self.runs: dict[tuple, list[int]] | None = None
 
     def search(self, terms: list[int]) -> list[int]:
         """The items that score at least 1 for a query of distinct terms: block-max WAND with a fixed threshold."""
-        cursor = {t: 0 for t in terms}
+        docs, scores, block_max, bounds = self.docs, self.scores, self.block_max, self.bounds
+        cursor = dict.fromkeys(terms, 0)
         found = []
         while cursor:
-            order = sorted(cursor, key=lambda t: self.docs[t][cursor[t]])
+            order = sorted([(docs[t][c], t) for t, c in cursor.items()])
             total, pivot = 0.0, None
-            for n, t in enumerate(order):
-                total += self.bound[t]
+            for doc, t in order:
+                total += bounds[t]
                 if total >= 1:
-                    pivot = n
+                    pivot = doc
                     break
             if pivot is None:
                 break
-            doc = self.docs[order[pivot]][cursor[order[pivot]]]
-            upto = [t for t in order if self.docs[t][cursor[t]] <= doc]
-            # The block that would hold the pivot item, for each list that may hold it.
-            place = {t: int(np.searchsorted(self.docs[t], doc)) for t in upto}
-            shallow = sum(self.block_max[t][place[t] // BLOCK] for t in upto if place[t] < len(self.docs[t]))
-            if shallow >= 1:
-                score = sum(self.scores[t][p] for t, p in place.items() if p < len(self.docs[t]) and self.docs[t][p] == doc)
-                if score >= 1:
-                    found.append(int(doc))
-                after = doc + 1
+            upto = [t for doc, t in order if doc <= pivot]
+            place = {t: p for t in upto if (p := bisect_left(docs[t], pivot, cursor[t])) < len(docs[t])}
+            if sum([block_max[t][p // BLOCK] for t, p in place.items()]) >= 1:
+                if sum([scores[t][p] for t, p in place.items() if docs[t][p] == pivot]) >= 1:
+                    found.append(pivot)
+                after = pivot + 1
             else:
-                # No item before the next block boundary, or before the next list's item, can reach the threshold.
-                ends = [self.docs[t][min((place[t] // BLOCK + 1) * BLOCK, len(self.docs[t])) - 1] + 1 for t in upto if place[t] < len(self.docs[t])]
-                beyond = [self.docs[t][cursor[t]] for t in order if self.docs[t][cursor[t]] > doc]
-                after = max(doc + 1, min([*ends, *beyond])) if ends or beyond else doc + 1
+                # No item up to the first block's end, or the next list's item, can reach the threshold.
+                ends = [docs[t][min((p // BLOCK + 1) * BLOCK, len(docs[t])) - 1] + 1 for t, p in place.items()]
+                beyond = [doc for doc, _ in order[len(upto) :]][:1]
+                after = max(pivot + 1, min([*ends, *beyond], default=0))
             for t in upto:
-                cursor[t] = int(np.searchsorted(self.docs[t], after))
-                if cursor[t] >= len(self.docs[t]):
+                c = bisect_left(docs[t], after, cursor[t])
+                if c < len(docs[t]):
+                    cursor[t] = c
+                else:
                     del cursor[t]
         return found
 
@@ -104,22 +105,28 @@ class ItemIndex:
         w = words.tolist()
         return any(item in self.runs.get(tuple(w[s : s + self.run]), ()) for s in range(len(w) - self.run + 1))
 
+    def passages(self, ids: np.ndarray) -> list[np.ndarray]:
+        """The windows of a document that can score: a run holds only words of the items, and its bounds add up to the
+        threshold, so words outside such runs are left out. Each run lies whole within a window."""
+        starts = len(ids) - self.run + 1
+        if starts < 1:
+            return []
+        known = np.concatenate([[0], np.cumsum(ids != len(self.terms))])
+        sums = np.concatenate([[0.0], np.cumsum(self.bound[ids])])
+        may = (known[self.run :] - known[:starts] == self.run) & (sums[self.run :] - sums[:starts] >= 1 - 1e-9)
+        out, next_ = [], -1
+        for s in np.flatnonzero(may).tolist():
+            if s >= next_:
+                out.append(ids[s : s + WINDOW * self.run])
+                next_ = s + (WINDOW - 1) * self.run + 1
+        return out
+
     def leaks(self, words: list[str]) -> set[int]:
         """The ids of the items of which the words contain a run."""
-        none = len(self.terms)
-        get = self.terms.get
-        ids = np.array([get(w, none) for w in words], np.int64)
-        if len(ids) < self.run:
-            return set()
-        sums = np.concatenate([[0.0], np.cumsum(self.bound[ids])])
-        starts = np.arange(0, max(len(ids) - STRIDE, 1), STRIDE)
-        ends = np.minimum(starts + WINDOW, len(ids))
+        none, get = len(self.terms), self.terms.get
         out: set[int] = set()
-        for s, e in zip(starts[(may := sums[ends] - sums[starts] >= 1)].tolist(), ends[may].tolist()):
-            passage = ids[s:e]
+        for passage in self.passages(np.array([get(w, none) for w in words], np.int64)):
             terms = [t for t in dict.fromkeys(passage.tolist()) if t != none]
-            if sum(self.bound[t] for t in terms) < 1:
-                continue
             for d in self.search(terms):
                 if self.items[d][0] not in out and self.holds(passage, d):
                     out.add(self.items[d][0])

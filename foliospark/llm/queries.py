@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import leaks, lookalike, packing, site_lines, splitting
+from . import leaks, lookalike, packing, scans, site_lines, splitting
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,19 @@ def p1_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.consistent_form(chunks.union(extracts), "text").select("tab", "id", "form")
 
 
+def _scanned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = F.try_element_at("metadata", F.lit("title"))
+    return scans.scanned_pages(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content", title)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.noise_lines(_scanned_pages(spark, sf_dir), "extract_id")
+
+
+def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired(_scanned_pages(spark, sf_dir), "extract_id")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content")
 
@@ -62,5 +75,5 @@ def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_texts(table(spark, sf_dir, "documents"), "doc_id", "text", _limits(spark, sf_dir, "split"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p4_found, p4_clean, p6_pack, p6_fill, p7_found, p8_split)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p3_found, p3_text, p4_found, p4_clean, p6_pack, p6_fill, p7_found, p8_split)}
 SQL: dict[str, str] = {}

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.textform import text_form
 from ..functions.words import WordHash, shingle_hashes
 from ..session import cut
+from .bands import banded_pairs
 from .components import components
 from .joins import grid_join, salted_join
 
@@ -25,9 +25,7 @@ BASE = 1.001  # with two bytes: no set is large enough to be cut off, and unlike
 ROWS_PER_BAND = 3
 BANDS = 21
 REGISTERS = ROWS_PER_BAND * BANDS
-BAND_BYTES = 2 * ROWS_PER_BAND
 RATE = 8.0  # a: the least register of a set of one shingle is well above zero
-BLOCK = 512  # members of one bucket that are compared in one place
 SLACK = 3.5  # standard deviations below the threshold that an estimate may lie
 
 
@@ -98,93 +96,6 @@ def _slices(b: pa.RecordBatch, n: int):
         yield b.slice(i, n)
 
 
-def _bands(reps: DataFrame) -> DataFrame:
-    """(bucket, tab, id) for each band of each representative."""
-
-    def run(batches):
-        for b in batches:
-            tabs, n = b.column(0).to_pylist(), b.num_rows
-            bits = b.column(2).to_pylist()
-            keys = np.empty((n, BANDS), np.int64)
-            for i, (t, r) in enumerate(zip(tabs, bits)):
-                for j in range(BANDS):
-                    keys[i, j] = xxhash.xxh3_64_intdigest(r[j * BAND_BYTES : (j + 1) * BAND_BYTES], j + (len(t) << 8)) - 2**63
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(pa.array(np.repeat(np.arange(n), BANDS))), b.column(1).take(pa.array(np.repeat(np.arange(n), BANDS)))], names=["bucket", "tab", "id"])
-
-    return reps.select("tab", "id", "regs").mapInArrow(run, "bucket long, tab string, id long")
-
-
-def _likely(members: DataFrame, sketch: SetSketch, least: float) -> DataFrame:
-    """(tab, id_a, id_b) of the pairs within each block pair whose estimate reaches ``least``.
-
-    ``members`` has (bucket, i, j, side, tab, id, regs) and is sorted within partitions. A pair that shares several
-    bands is looked at in the first only, so that pairs need no distinct.
-    """
-
-    def pairs_of(starts: np.ndarray, side: np.ndarray):
-        """Row numbers of the pairs of all groups, in pieces."""
-        size = np.diff(starts)
-        some_a, some_b, held = [], [], 0
-        for s in np.unique(size[size > 1]):
-            at = starts[:-1][size == s]
-            x, y = np.triu_indices(s, 1)
-            step = max(1, 400_000 // len(x))
-            for g in range(0, len(at), step):
-                a, b = (at[g : g + step, None] + x).ravel(), (at[g : g + step, None] + y).ravel()
-                ok = (side[a] + side[b]) % 3 == 0  # two rows of one block, or one each of two; see where sides are made
-                some_a.append(a[ok]), some_b.append(b[ok])
-                held += int(ok.sum())
-                if held >= 200_000:
-                    yield np.concatenate(some_a), np.concatenate(some_b)
-                    some_a, some_b, held = [], [], 0
-        if held:
-            yield np.concatenate(some_a), np.concatenate(some_b)
-
-    def compare(t: pa.Table):
-        n = t.num_rows
-        key = [t.column(c).to_numpy() for c in ("bucket", "i", "j")]
-        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
-        starts = np.concatenate([[0], change, [n]])
-        regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(n, sketch.m)
-        ids, side, tabs = t.column("id").to_numpy(), t.column("side").to_numpy(), np.array(t.column("tab").to_pylist(), object)
-        for a, b in pairs_of(starts, side):
-            ra, rb = regs[a], regs[b]
-            same = (ra == rb).reshape(len(a), BANDS, ROWS_PER_BAND).all(2)
-            enough = (ra == rb).sum(1) >= 0.5 * least * sketch.m
-            a, b, ra, rb, same = a[enough], b[enough], ra[enough], rb[enough], same[enough]
-            if not len(a):
-                continue
-            first = same.argmax(1)
-            here = np.array([xxhash.xxh3_64_intdigest(r[f * ROWS_PER_BAND : (f + 1) * ROWS_PER_BAND].tobytes(), int(f) + (len(w) << 8)) - 2**63 for r, f, w in zip(ra, first, tabs[a])], np.int64) == key[0][a]
-            a, b, ra, rb = a[here], b[here], ra[here], rb[here]
-            good = sketch.jaccard(ra, rb) >= least if len(a) else np.zeros(0, bool)
-            a, b = a[good], b[good]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(tabs[a], pa.string()), pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], names=["tab", "id_a", "id_b"])
-
-    def run(batches):
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            if rest is not None:
-                t = pa.concat_tables([rest, t])
-            if t.num_rows < 4 * BLOCK:
-                rest = t
-                continue
-            key = [t.column(c).to_numpy() for c in ("bucket", "i", "j")]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))
-            if not len(change):
-                rest = t
-                continue
-            end = int(change[-1]) + 1
-            rest = t.slice(end)
-            yield from compare(t.slice(0, end).combine_chunks())
-        if rest is not None and rest.num_rows:
-            yield from compare(rest.combine_chunks())
-
-    return members.mapInArrow(run, "tab string, id_a long, id_b long")
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
     """(tab, id_a, id_b, similarity) of the pairs whose exact similarity reaches the threshold."""
     form = text_form(texts.sparkSession)
@@ -229,20 +140,16 @@ class NearDuplicates:
         self.classes = sketches.groupBy("tab", "words_key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min("regs").alias("regs"))
         self.classes = cut(self.classes)
         self.members = salted_join(sketches.select("tab", "id", "words_key"), self.classes.select("tab", "words_key", "rep"), ["tab", "words_key"], F.col("id")).select("tab", "id", "rep")
-        reps = self.classes.select("tab", F.col("rep").alias("id"), "regs")
-        buckets = cut(_bands(reps))
-        sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-        shared = salted_join(buckets, sizes, ["bucket"], F.col("id"), 4)
-        # A bucket of n members is cut into blocks; every pair of blocks meets in one group of bounded size.
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        shared = shared.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        shared = shared.select("bucket", "tab", "id", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"))
-        shared = shared.join(reps, ["tab", "id"])
-        shared = shared.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        reps = self.classes.select("tab", F.col("rep").alias("id"), F.col("regs").alias("signature"))
         least = threshold - SLACK * (threshold * (1 - threshold) / sketch.m) ** 0.5
-        likely = cut(_likely(shared, sketch, least))
-        self.links = cut(_verified(likely, self.texts, k, threshold))
+
+        def likely(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            out = (a == b).sum(1) >= 0.5 * least * sketch.m
+            out[out] = sketch.jaccard(a[out], b[out]) >= least
+            return out
+
+        likely_pairs = cut(banded_pairs(reps, list(range(0, sketch.m + 1, ROWS_PER_BAND)), "uint16", likely))
+        self.links = cut(_verified(likely_pairs, self.texts, k, threshold))
 
     def pairs(self) -> DataFrame:
         a = self.members.select("tab", F.col("rep").alias("id_a"), F.col("id").alias("x"))

@@ -15,6 +15,14 @@ ZERO_WIDTH = "​﻿‌‍"
 SPACE = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that is not taken, letter case aside."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The runs of letters, digits and underscores in lower case, as an array."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))

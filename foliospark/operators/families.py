@@ -154,9 +154,10 @@ def roles(families: DataFrame, canonicals: DataFrame, key: str) -> DataFrame:
 
 
 def superseded(documents: DataFrame, roles_: DataFrame, key: str) -> DataFrame:
-    """``documents`` with ``status``: superseded for variants, else current."""
-    variant = roles_.filter("role = 'variant'").select(key, F.lit("superseded").alias("_s"))
-    return documents.join(variant, key, "left").withColumn("status", F.coalesce("_s", F.lit("current"))).drop("_s")
+    """``documents`` with ``status``, in place of one it may have: superseded for variants, else current."""
+    mark = X.fresh(documents.columns, "_s")
+    variant = roles_.filter("role = 'variant'").select(key, F.lit("superseded").alias(mark))
+    return documents.join(variant, key, "left").withColumn("status", F.coalesce(mark, F.lit("current"))).drop(mark)
 
 
 def family_report(canonicals: DataFrame) -> DataFrame:

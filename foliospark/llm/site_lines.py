@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import fresh
 from ..functions.textform import text_form
 from ..operators.joins import salted_join
 from ..session import cut
@@ -146,6 +147,7 @@ def site_lines(df: DataFrame, key: str, source_file: str, text: str) -> DataFram
 
 def without_site_lines(df: DataFrame, key: str, source_file: str, text: str) -> DataFrame:
     """``df`` with ``text`` freed of the lines that its source repeats. Null and empty texts stay as they are."""
-    out = site_lines(df, key, source_file, text).groupBy(key).agg(F.collect_set("line_no").alias("_lines"))
-    numbered = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.array_contains("_lines", i + 1))
-    return df.join(out, key, "left").withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(F.array_join(numbered, "\n"))).drop("_lines")
+    found = fresh(df.columns, "_lines")
+    out = site_lines(df, key, source_file, text).groupBy(key).agg(F.collect_set("line_no").alias(found))
+    numbered = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.array_contains(found, i + 1))
+    return df.join(out, key, "left").withColumn(text, F.when(F.col(found).isNull(), F.col(text)).otherwise(F.array_join(numbered, "\n"))).select(*df.columns)

@@ -28,6 +28,8 @@ HEADING = re.compile(rb"(#{1,6})[ \t\xc2]")
 LIST_ITEM = re.compile(rb"[ \t]*(?:[-*+]|\d{1,3}[.)])[ \t]")
 SENTENCE_END = re.compile(rb"[.!?]+(?:[\"')\]]|\xe2\x80[\x9c\x9d\x99]|\xc2\xbb)*(?=[ \t\n])")
 PAGE_BREAK = b"\x0c"
+# White space outside ASCII, in UTF-8.
+WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 MARGIN = 4  # tokens kept free for counting a piece's first and last word again
 
 
@@ -88,16 +90,22 @@ class Splitter:
         bytes_ = np.frombuffer(raw + b" ", np.uint8)
         starts_char = (bytes_ & 0xC0) != 0x80
         space = (bytes_ == 32) | ((bytes_ >= 9) & (bytes_ <= 13))
+        for m in WIDE_SPACE.finditer(raw):
+            space[m.start() : m.end()] = True
         ok = starts_char[ends]
-        # A place is safe if no pre-token spans it: a blank after ink, or ink after a line end.
+        # A place is safe if no pre-token spans it: a blank after ink, or ink after a line end. The former also stays
+        # safe when what follows is cut off.
         inner = ends[1:-1]
-        safe = np.ones(len(ends), bool)
-        safe[1:-1] = (~space[inner - 1] & space[inner]) | ((bytes_[inner - 1] == 10) & ~space[inner])
+        closed, safe = np.ones(len(ends), bool), np.ones(len(ends), bool)
+        closed[1:-1] = ~space[inner - 1] & space[inner]
+        safe[1:-1] = closed[1:-1] | ((bytes_[inner - 1] == 10) & ~space[inner])
+        blank_end = np.zeros(len(ends), bool)
+        blank_end[1:] = space[ends[1:] - 1]
         places, depth = boundaries(raw)
         t = np.searchsorted(ends, places) if places else np.zeros(0, np.int64)
         exact = (ends[np.minimum(t, len(ends) - 1)] == places) if places else np.zeros(0, bool)
         t, depth = t[exact], np.array(depth, np.int64)[exact]
-        return raw, ends, ok, safe, np.concatenate([[0], t, [len(ends) - 1]]), np.concatenate([[0], depth, [0]])
+        return raw, ends, ok, (safe, closed, blank_end), np.concatenate([[0], t, [len(ends) - 1]]), np.concatenate([[0], depth, [0]])
 
     def _long(self, s: int, e: int, most: int, ok: np.ndarray, safe: np.ndarray) -> list[int]:
         """Cuts inside a node without inner places: between words, else between characters that tokens end at."""
@@ -141,40 +149,41 @@ class Splitter:
 
     def split(self, prepared, limit: int, overlap: int) -> list[tuple[int, int, int, int]]:
         """(first byte, end byte, tokens, overlap) of each piece."""
-        raw, ends, ok, safe, t, depth = prepared
+        raw, ends, ok, kinds, t, depth = prepared
         if len(ends) - 1 <= limit:
             return []
+        if limit - overlap < 1:
+            raise ValueError(f"no room for a piece: limit {limit}, overlap {overlap}")
         margin = MARGIN
         while True:
-            most = limit - overlap - margin
-            if most < 1:
-                raise ValueError(f"no room for a piece: limit {limit}, overlap {overlap}")
+            most = max(limit - overlap - margin, 1)
             out, s = [], 0
-            for e in self._pack(0, len(t) - 1, t, depth, most, ok, safe):
+            for e in self._pack(0, len(t) - 1, t, depth, most, ok, kinds[0]):
                 begin = max(0, s - overlap) if s else 0
                 while not ok[begin]:
                     begin -= 1
-                n = e - begin + self._change(raw, ends, safe, begin, e)
+                n = e - begin + self._change(raw, ends, kinds, begin, e)
                 out.append((int(ends[begin]), int(ends[e]), int(n), s - begin))
                 s = e
-            if all(n <= limit for _, _, n, _ in out) or most <= limit // 4:
+            if most == 1 or all(n <= limit for _, _, n, _ in out):
                 return out
             margin *= 2
 
-    def _change(self, raw: bytes, ends: np.ndarray, safe: np.ndarray, begin: int, e: int) -> int:
-        """By how many tokens the piece on its own differs from its tokens in the text."""
-        extra = 0
-        a, b = begin, e
+    def _change(self, raw: bytes, ends: np.ndarray, kinds: tuple[np.ndarray, ...], begin: int, e: int) -> int:
+        """By how many tokens the piece on its own differs from its tokens in the text: its first word is counted again
+        if it begins inside a pre-token, its last if it ends inside one or with blanks."""
+        safe, closed, blank_end = kinds
+        a = b = None
         if not safe[begin]:
-            nxt = begin + 1 + int(safe[begin + 1 : e + 1].argmax()) if safe[begin + 1 : e + 1].any() else e
-            extra += self._own(raw[ends[begin] : ends[nxt]]) - (nxt - begin)
-            a = nxt
-        if a < b and (not safe[b] or raw[ends[b] - 1] in b" \t\r\n"):
-            back = b - 1 - int(safe[a:b][::-1].argmax()) if safe[a:b].any() else a
-            while back > a and raw[ends[back] : ends[b]].isspace() and raw[ends[back] - 1] in b" \t\r\n":
-                back -= 1
-            extra += self._own(raw[ends[back] : ends[b]]) - (b - back)
-        return extra
+            inside = closed[begin + 1 : e]
+            a = begin + 1 + int(inside.argmax()) if inside.any() else e
+        if not safe[e] or blank_end[e]:
+            inside = closed[begin + 1 : e][::-1]
+            b = e - 1 - int(inside.argmax()) if inside.any() else begin
+        whole = lambda x, y: self._own(raw[ends[x] : ends[y]]) - (y - x)
+        if a == e or b == begin or (a is not None and b is not None and a > b):
+            return whole(begin, e)
+        return (whole(begin, a) if a is not None else 0) + (whole(b, e) if b is not None else 0)
 
 
 def split_texts(df: DataFrame, key: str, text: str, limits: list[tuple[int, int]], path: str = TOKENIZER) -> DataFrame:

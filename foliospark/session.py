@@ -6,14 +6,34 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_prepared: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, once a session; functions that run there import it. The registered queries
+    do this by themselves."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _prepared:
+        folder = tempfile.mkdtemp(prefix="foliospark-code-")
+        atexit.register(shutil.rmtree, folder, True)
+        package = Path(__file__).resolve().parent
+        with zipfile.ZipFile(f"{folder}/foliospark.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(f"{folder}/foliospark.zip")
+        _prepared.add(sc.applicationId)
+    return spark
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
-    return (
+    return prepare(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("foliospark")
         .config("spark.driver.memory", memory)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..functions.words import words_of
 from ..session import cut
 from .bands import banded_pairs
 from .components import components
@@ -32,19 +35,36 @@ def signatures(df: DataFrame, key: str, text: str, k: int = SHINGLE, n: int = PE
     """(key, signature ARRAY<BIGINT>) of every row: the least hash of its shingles under each of n functions.
 
     Texts without words, empty ones and nulls have zeros throughout, so that they are alike at 1.0. ``family`` is
-    ``linear`` (one 31-bit hash a shingle, from its MD5, then n linear functions; all of it built-in expressions) or
-    ``murmur3`` (MurmurHash3 x86 32 with the seeds from ``seed`` on, for signatures that equal other tools').
+    ``linear`` (one 31-bit hash a shingle, from its MD5, then n linear functions, which SQL can follow) or ``murmur3``
+    (MurmurHash3 x86 32 with the seeds from ``seed`` on, for signatures that equal other tools'). A document is a row,
+    so its signature is made where the row is, without a shuffle.
     """
-    if family == "murmur3":
-        return _murmur_signatures(df, key, text, k, n, seed)
-    if family != "linear":
+    if family not in ("linear", "murmur3"):
         raise ValueError(f"unknown hash family: {family}")
-    x = F.conv(F.substring(F.md5(F.col("shingle")), 1, 8), 16, 10).cast("long") % PRIME
-    hashed = df.select(key, F.explode(X.shingles(F.col(text), k)).alias("shingle")).select(key, x.alias("x"))
-    least = hashed.groupBy(key).agg(*[F.min((F.col("x") * a + b) % PRIME).alias(f"h{i}") for i, (a, b) in enumerate(coefficients(n, seed))])
-    found = least.select(key, F.array(*[f"h{i}" for i in range(n)]).alias("signature"))
-    none = F.array_repeat(F.lit(0).cast("long"), n)
-    return df.select(key).join(found, key, "left").withColumn("signature", F.coalesce("signature", none))
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        seeds = np.arange(seed, seed + n, dtype=np.uint64)
+        a, b = (np.array(x, np.int64) for x in zip(*coefficients(n, seed)))
+        for batch in batches:
+            rows = []
+            for t in batch.column(1).to_pylist():
+                w = words_of(t)
+                data = sorted({" ".join(w[i : i + k]).encode() for i in range(max(len(w) - k + 1, 1))}) if w else []
+                least = np.full(n, 2**32, np.int64)
+                for i in range(0, len(data), 5_000):
+                    part = data[i : i + 5_000]
+                    if family == "murmur3":
+                        hashed = murmur3(part, seeds).astype(np.int64)
+                    else:
+                        x = np.array([int.from_bytes(hashlib.md5(s).digest()[:4], "big") % PRIME for s in part], np.int64)
+                        hashed = (x[:, None] * a + b) % PRIME
+                    least = np.minimum(least, hashed.min(0))
+                rows.append(least if data else np.zeros(n, np.int64))
+            flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * n), flat)], names=[key, "signature"])
+
+    return df.select(key, F.col(text).alias("_t")).mapInArrow(run, f"`{key}` {kind}, signature array<long>")
 
 
 def murmur3(words: list[bytes], seeds: np.ndarray) -> np.ndarray:
@@ -71,24 +91,6 @@ def murmur3(words: list[bytes], seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _murmur_signatures(df: DataFrame, key: str, text: str, k: int, n: int, seed: int) -> DataFrame:
-    kind = df.schema[key].dataType.simpleString()
-
-    def run(batches):
-        seeds = np.arange(seed, seed + n, dtype=np.uint64)
-        for b in batches:
-            rows = []
-            for sh in b.column(1).to_pylist():
-                least = np.full(n, 2**32 - 1, np.uint32)
-                data = [s.encode() for s in sh or ()]
-                for i in range(0, len(data), 20_000):
-                    least = np.minimum(least, murmur3(data[i : i + 20_000], seeds).min(0))
-                rows.append(least.astype(np.int64).tolist() if data else [0] * n)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=[key, "signature"])
-
-    return df.select(key, F.array_distinct(X.shingles(F.col(text), k)).alias("_s")).mapInArrow(run, f"`{key}` {kind}, signature array<long>")
-
-
 def matches(a: Column, b: Column) -> Column:
     """The number of equal places of two signatures."""
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda t: t))

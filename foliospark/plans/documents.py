@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators import chunking, cleaning, exact, families
-from ..session import cut, table
+from ..session import cut, table, texts
 
 RULES = [
     {"pattern": r"\bIn return\b", "description": "an uncertain rule", "confidence": 40},
@@ -38,7 +38,7 @@ def shingle_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return families.signatures(_documents(spark, sf_dir), "doc_id", "text")
+    return families.signatures(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,7 @@ def family_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", cleaning.clean(F.col("text")).alias("text"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", cleaning.clean(F.col("text")).alias("text"))
 
 
 def regex_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def regex_removals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = cleaning.CleanupRules(deduplicate_paragraphs=True)
-    return _documents(spark, sf_dir).select("doc_id", cleaning.clean(F.col("text"), rules).alias("text"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", cleaning.clean(F.col("text"), rules).alias("text"))
 
 
 def rule_review(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def text_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_markdown(table(spark, sf_dir, "extracts"), "extract_id", "content")
+    return chunking.chunk_markdown(texts(spark, sf_dir, "extracts", "extract_id", "content"), "extract_id", "content")
 
 
 def page_fill(spark: SparkSession, sf_dir: str) -> DataFrame:

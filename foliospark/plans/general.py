@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from ..operators.hnsw import neighbours, similar_pairs
 from ..operators.setsketch import NearDuplicates
-from ..session import table
+from ..session import table, texts
 
 SIMILAR = 0.7
 
 
 def stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tab, id, text) of all chunks and extracts."""
-    c = table(spark, sf_dir, "chunks").select(F.lit("chunks").alias("tab"), F.col("chunk_id").alias("id"), "text")
-    e = table(spark, sf_dir, "extracts").select(F.lit("extracts").alias("tab"), F.col("extract_id").alias("id"), F.col("content").alias("text"))
+    c = texts(spark, sf_dir, "chunks", "chunk_id", "text").select(F.lit("chunks").alias("tab"), F.col("chunk_id").alias("id"), "text")
+    e = texts(spark, sf_dir, "extracts", "extract_id", "content").select(F.lit("extracts").alias("tab"), F.col("extract_id").alias("id"), F.col("content").alias("text"))
     return c.union(e)
 
 

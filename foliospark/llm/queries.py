@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, table
+from ..session import cut, table, texts
 from . import leaks, lookalike, packing, scans, site_lines, splitting
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = lookalike.look_alike_keys(table(spark, sf_dir, "chunks"), "chunks", "chunk_id", "text")
-    return cut(keys.union(lookalike.look_alike_keys(table(spark, sf_dir, "extracts"), "extracts", "extract_id", "content")))
+    keys = lookalike.look_alike_keys(texts(spark, sf_dir, "chunks", "chunk_id", "text"), "chunks", "chunk_id", "text")
+    return cut(keys.union(lookalike.look_alike_keys(texts(spark, sf_dir, "extracts", "extract_id", "content"), "extracts", "extract_id", "content")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def p1_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scanned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.try_element_at("metadata", F.lit("title"))
-    return scans.scanned_pages(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content", title)
+    return scans.scanned_pages(texts(spark, sf_dir, "extracts", "extract_id", "source_file", "content", "metadata"), "extract_id", "source_file", "content", title)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,15 +42,15 @@ def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_lines.site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content")
+    return site_lines.site_lines(texts(spark, sf_dir, "extracts", "extract_id", "source_file", "content"), "extract_id", "source_file", "content")
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_lines.without_site_lines(table(spark, sf_dir, "extracts"), "extract_id", "source_file", "content").select("extract_id", "content")
+    return site_lines.without_site_lines(texts(spark, sf_dir, "extracts", "extract_id", "source_file", "content"), "extract_id", "source_file", "content").select("extract_id", "content")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
+    return leaks.leaks(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
 
 
 def _limits(spark: SparkSession, sf_dir: str, purpose: str) -> list[tuple[int, int]]:
@@ -60,7 +60,7 @@ def _limits(spark: SparkSession, sf_dir: str, purpose: str) -> list[tuple[int, i
 
 def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacities = [m for m, _ in _limits(spark, sf_dir, "pack")]
-    return packing.pack_all(table(spark, sf_dir, "documents"), "doc_id", "text", capacities)
+    return packing.pack_all(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", capacities)
 
 
 def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.split_texts(table(spark, sf_dir, "documents"), "doc_id", "text", _limits(spark, sf_dir, "split"))
+    return splitting.split_texts(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _limits(spark, sf_dir, "split"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p3_found, p3_text, p4_found, p4_clean, p6_pack, p6_fill, p7_found, p8_split)}

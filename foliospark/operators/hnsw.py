@@ -20,7 +20,7 @@ from .joins import salted_join
 M, EF_BUILD, EF_SEARCH = 12, 48, 48
 SAMPLE = 20_000  # vectors that the centroids are fitted on, at most; every vector is indexed
 SHARD = 4096  # vectors aimed at in a shard
-MOST_CENTROIDS = 4096
+MOST_CENTROIDS = 16_384
 PROBES = 8  # shards that each vector is searched in
 BATCH = 256
 

@@ -67,3 +67,13 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """A pattern's group where it first matches, else null."""
     found = F.regexp_extract(text, pattern, group)
     return F.when(text.rlike(pattern), found)
+
+
+def size_mb(length: Column) -> Column:
+    """Bytes as megabytes to one decimal, rounded half even."""
+    return F.bround(length / 1e6, 1)
+
+
+def stored_scalar(value: Column, kind: str) -> Column:
+    """A metadata value as stores that only hold scalars want it: text as it is, anything nested as JSON."""
+    return value if kind == "string" else F.to_json(value) if kind.startswith(("struct", "array", "map")) else value.cast("string")

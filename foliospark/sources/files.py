@@ -125,3 +125,30 @@ def epub_metrics(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([metrics], pa.string()), pa.array([error], pa.string())], names=["path", "metrics", "error"])
 
     return files.select("path", "content").mapInArrow(run, "path string, metrics string, error string")
+
+
+def only_titles(candidates: DataFrame, title: str, names: list[str]) -> DataFrame:
+    """The candidates of the named titles; a name that none has is an error."""
+    if not names:
+        return candidates
+    known = {r[0] for r in candidates.select(title).filter(F.col(title).isin(names)).distinct().collect()}  # at most the names
+    if missing := sorted(set(names) - known):
+        raise ValueError(f"no such titles: {', '.join(missing)}")
+    return candidates.filter(F.col(title).isin(names))
+
+
+def write_assets(documents: DataFrame, root: str) -> None:
+    """Each document's assets as files in a folder of its own under a shared root, written by the executors. Names
+    lose their folders, and a file is replaced as a whole."""
+
+    def save(part):
+        from pathlib import Path
+
+        for r in part:
+            to = Path(root.removeprefix("file://"), formats.stem(r.path), Path(r.name).name)
+            to.parent.mkdir(parents=True, exist_ok=True)
+            tmp = to.with_name(to.name + ".tmp")
+            tmp.write_bytes(r.content)
+            tmp.replace(to)
+
+    assets_of(documents).filter("content is not null and name is not null").foreachPartition(save)

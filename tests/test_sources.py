@@ -118,6 +118,11 @@ def test_files_are_found_routed_and_extracted(spark, tmp_path):
     assert got["n.txt"].content == "plain é" and got["a.HTML"].content.startswith("# Title") and got["a.HTML"].reader == "html"
     assert got["bad.docx"].content == "" and "BadZipFile" in got["bad.docx"].error and got["bad.docx"].pipeline_phases == []
     assert {r.name for r in files.assets_of(docs).collect()} == {"image_0.png", "i.png"}
+    files.write_assets(docs, str(tmp_path / "assets"))
+    assert (tmp_path / "assets/a/image_0.png").read_bytes() == b"\1\2\3"
+    assert files.only_titles(docs, "source_file", ["n.txt"]).count() == 1 and files.only_titles(docs, "source_file", []).count() == 5
+    with pytest.raises(ValueError, match="nope"):
+        files.only_titles(docs, "source_file", ["nope", "n.txt"])
     assert files.unfinished(found, docs.filter("error is null")).count() == 1
     m = {r.path.rsplit("/", 1)[1]: r for r in files.epub_metrics(found.filter("extension in ('epub', 'docx')")).collect()}
     assert json.loads(m["b.epub"].metrics)["title"] == "Book" and m["bad.docx"].error

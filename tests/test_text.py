@@ -62,4 +62,5 @@ def test_column_expressions(spark):
     assert d.select(X.uuid5(F.lit("x|é"))).first()[0] == str(uuid.uuid5(uuid.NAMESPACE_URL, "x|é"))
     assert d.select(X.strip(F.lit(" \x1f a b 　\n"))).first()[0] == "a b"
     assert d.select(X.overlay(F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2")), F.create_map(F.lit("a"), F.lit("9")))).first()[0] == {"a": "9", "b": "2"}
+    assert d.select(X.size_mb(F.lit(2_250_000)), X.stored_scalar(F.array(F.lit(1)), "array<int>"), X.stored_scalar(F.lit(3), "int")).first() == (2.2, "[1]", "3")
     assert words_of("Été_1 x") == ["été_1", "x"]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from .joins import salted_join
+from .joins import SALTS, salted_join
 
 PAGE_TOLERANCE = 2
 SECTION_CHARS, SNIPPET_CHARS = 8000, 200
@@ -62,14 +62,15 @@ def section_texts(chunks: DataFrame, file: str, section: str, order: list[str],
     """(file, section, chunks, text): the chunks of each named section of a file joined by line ends, in order, and cut
     at ``chars``. Chunks without section or text are left out; equal titles in one file are one section.
 
-    Only the first ``chars`` characters' worth of chunks is ever gathered: chunks are numbered by a running total first,
-    and those that begin beyond the limit only count.
+    A section of any size is fine: of each of its salted parts only the first ``chars`` chunks, which hold at least
+    as many characters, go on, and only those that begin within the limit are gathered.
     """
-    from pyspark.sql import Window
-
-    named = chunks.filter((F.col(section) != "") & F.col(text).isNotNull())
-    total = F.sum(F.length(text) + 1).over(Window.partitionBy(file, section).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    placed = named.withColumn("_before", F.coalesce(total, F.lit(0)))
-    kept = F.when(F.col("_before") < chars, F.struct(*order, F.col(text).alias("_t")))
-    out = placed.groupBy(file, section).agg(F.count("*").alias("chunks"), F.sort_array(F.collect_list(kept)).alias("_l"))
+    named = chunks.filter((F.col(section) != "") & F.col(text).isNotNull()).select(file, section, *order, F.col(text).alias("_t"))
+    counts = named.groupBy(file, section).agg(F.count("*").alias("chunks"))
+    salted = named.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    rank = F.row_number().over(Window.partitionBy(file, section, "_salt").orderBy(*order))
+    few = salted.withColumn("_r", rank).filter(F.col("_r") <= chars)
+    total = F.sum(F.length("_t") + 1).over(Window.partitionBy(file, section).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    few = few.withColumn("_before", F.coalesce(total, F.lit(0))).filter(F.col("_before") < chars)
+    out = few.groupBy(file, section).agg(F.sort_array(F.collect_list(F.struct(*order, "_t"))).alias("_l")).join(counts, [file, section])
     return out.select(file, section, "chunks", F.substring(F.array_join(F.transform("_l", lambda x: x["_t"]), "\n"), 1, chars).alias("text"))

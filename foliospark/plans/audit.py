@@ -108,6 +108,10 @@ SQL = {
     "manifest_merge": """WITH o AS (SELECT source_file, max(extract_id) AS extract_id, min(loaded_at) AS loaded_at FROM extracts WHERE source_file IS NOT NULL AND extract_id % 2 = 0 GROUP BY 1),
       n AS (SELECT source_file, max(extract_id) AS extract_id, min(loaded_at) AS loaded_at FROM extracts WHERE source_file IS NOT NULL AND extract_id % 2 = 1 GROUP BY 1)
       SELECT source_file, coalesce(n.extract_id, o.extract_id) AS extract_id, coalesce(o.loaded_at, n.loaded_at) AS loaded_at FROM o FULL JOIN n USING (source_file)""",
-    "image_links": """SELECT extract_id, (length(content) + 2 * length('\n\n![a figure](img/figure (' || extract_id || ').png)\n') - 3 - length('![a figure]()') + 4 + length('text of ') - 1)::INT AS chars, 1 AS injected FROM extracts WHERE false""",
+    "image_links": """SELECT extract_id, (length(c) + 4 + length('text of img/figure (' || extract_id || ').png'))::INT AS chars, 1 AS injected
+      FROM (SELECT extract_id, content || chr(10) || chr(10) || '![a figure](img/figure (' || extract_id || ').png)' || chr(10) AS c FROM extracts WHERE content IS NOT NULL)""",
+    "pdf_origin": f"""WITH {_METRICS}, named AS (SELECT extract_id, metadata['producer'] AS producer, lower(coalesce(metadata['producer'], '')) AS low FROM extracts WHERE content <> ''),
+      found AS (SELECT *, {", ".join(f"list_filter({list(tools)}, lambda t: contains(low, t))[1] AS t{n}" for n, tools in enumerate((audit.SCAN_TOOLS, audit.CONVERTERS, audit.TYPESETTERS)))} FROM named)
+      SELECT extract_id, producer, CASE WHEN t0 IS NOT NULL THEN 'scan_ocr' WHEN t1 IS NOT NULL THEN 'converted' WHEN t2 IS NOT NULL THEN 'typeset' ELSE 'unknown' END AS origin,
+        coalesce('metadata names ' || coalesce(t0, t1, t2), 'no known tool') AS evidence FROM found JOIN metrics USING (extract_id)""",
 }
-del SQL["image_links"]

@@ -28,7 +28,10 @@ def same_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def isbns_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(audit.isbns(F.coalesce("text", F.lit("")))).alias("isbns"))
+    """ISBNs found in documents, each of which gets one in its last line, with hyphens and as it is."""
+    d = table(spark, sf_dir, "documents")
+    tail = F.concat(F.lit("\nISBN 978-0-"), F.lpad(F.col("doc_id").cast("string"), 8, "0"), F.lit("-7 or "), F.lpad(F.col("doc_id").cast("string"), 9, "1"), F.lit("x."))
+    return d.select("doc_id", F.array_join(audit.isbns(F.concat(F.coalesce("text", F.lit("")), tail)), ",").alias("isbns"))
 
 
 def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +98,10 @@ SQL = {
     "filename_parse": """SELECT doc_id, true AS is_archive_name, f[1] AS title, f[2] AS authors, y AS year, m AS md5, i AS isbns, o AS other FROM (SELECT doc_id,
       list_filter([source, kind, '2nd ed., ' || (1795 + doc_id % 250)], lambda x: x IS NOT NULL) AS f, CASE WHEN source IS NOT NULL AND kind IS NOT NULL AND doc_id % 250 >= 5 THEN (1795 + doc_id % 250)::INT END AS y,
       md5(text) AS m, '9780' || lpad(doc_id::VARCHAR, 8, '0') || doc_id % 10 AS i, CASE WHEN source IS NOT NULL AND kind IS NOT NULL THEN '2nd ed., ' || (1795 + doc_id % 250) ELSE '' END AS o FROM documents)""",
+    "isbns_in_text": r"""WITH t AS (SELECT doc_id, coalesce(text, '') || chr(10) || 'ISBN 978-0-' || lpad(doc_id::VARCHAR, 8, '0') || '-7 or ' || lpad(doc_id::VARCHAR, 9, '1') || 'x.' AS s FROM documents),
+      c AS (SELECT doc_id, regexp_replace(regexp_replace(s, '(\d)[\s-]([\dXx])', '\1\2', 'g'), '(\d)[\s-]([\dXx])', '\1\2', 'g') AS s FROM t),
+      f AS (SELECT doc_id, list_transform(regexp_extract_all(s, '\b(97[89]\d{10}|\d{9}[\dXx])\b', 1), lambda x: upper(x)) AS l FROM c)
+      SELECT doc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') AS isbns FROM f""",
     "same_edition": """WITH c AS (SELECT source, doc_id, CASE WHEN doc_id % 5 <> 0 THEN ['978' || lpad((doc_id % 2)::VARCHAR, 10, '0'), '9781234567890'] ELSE [] END AS isbns FROM documents WHERE source IS NOT NULL),
       f AS (SELECT source, count(*) AS n, count_if(len(isbns) > 0) AS known FROM c GROUP BY 1), e AS (SELECT source, i, count(*) AS k FROM (SELECT source, unnest(isbns) AS i FROM c) GROUP BY ALL),
       s AS (SELECT source, string_agg(i, ',' ORDER BY i) AS shared FROM e JOIN f USING (source) WHERE k = known AND known > 1 GROUP BY 1)

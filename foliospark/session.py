@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -71,27 +72,32 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_cuts: list[tuple[SparkSession, str]] = []
+
+
 def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     """Writes ``df`` as a table to the shared folder and reads it again: what follows survives the loss of
-    executors, and the plan before it runs only once. The table is deleted when the program ends."""
+    executors, and the plan before it runs only once. ``release`` deletes the table, at the latest when the program
+    ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    if not _cuts:
+        atexit.register(release)
+    _cuts.append((spark, path))
     df.write.option("compression", "zstd").parquet(path, partitionBy=list(partition_by) or None)
-    if path.startswith("file:") or path.startswith("/"):
-        atexit.register(shutil.rmtree, path.removeprefix("file://"), True)
-    else:
-        atexit.register(_delete, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session has ended already
-        pass
-
-
-def exists(path: str) -> bool:
-    return Path(path).exists()
+def release() -> None:
+    """Deletes all tables that ``cut`` wrote. Results that were not stored yet can't be computed any more, so a long
+    session calls this between jobs."""
+    while _cuts:
+        spark, path = _cuts.pop()
+        if path.startswith(("file:", "/")):
+            shutil.rmtree(re.sub("^file:/+", "/", path), True)
+            continue
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session has ended already
+            return

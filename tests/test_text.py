@@ -64,3 +64,16 @@ def test_column_expressions(spark):
     assert d.select(X.overlay(F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("2")), F.create_map(F.lit("a"), F.lit("9")))).first()[0] == {"a": "9", "b": "2"}
     assert d.select(X.size_mb(F.lit(2_250_000)), X.stored_scalar(F.array(F.lit(1)), "array<int>"), X.stored_scalar(F.lit(3), "int")).first() == (2.2, "[1]", "3")
     assert words_of("Été_1 x") == ["été_1", "x"]
+
+
+def test_cut_tables_are_released(spark):
+    from pathlib import Path
+
+    from foliospark.session import cut, release, shared_dir
+
+    d = cut(spark.range(5))
+    assert d.count() == 5
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    assert list(folder.glob("cut-*"))
+    release()
+    assert not list(folder.glob("cut-*"))

@@ -1,10 +1,12 @@
 """Problem 2: the most similar vectors for every vector.
 
-Vectors are routed to shards by coarse centroids. Each shard holds a hierarchical navigable small-world graph as flat
-arrays of neighbours. Inserting and searching advance many vectors in step, so that every hop is one numpy operation
-over the whole batch. Each vector is searched in its nearest shards, and the shards' results are merged.
+Vectors are routed to shards by coarse centroids. Each vector is held against all vectors of its nearest shards by matrix
+products, so within these the answer is exact, ties at six decimals included, and the shards' results are merged.
 
 Vectors that are equal bit by bit are one class, of which only one is indexed; its copies come in when results are merged.
+
+``Hnsw`` is a hierarchical navigable small-world graph as flat arrays of neighbours, for searches by itself. ``neighbours``
+doesn't use it: a graph keeps a fixed number of rows, whichever they are, of a group that ties.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ SHARD = 4096  # vectors aimed at in a shard
 MOST_CENTROIDS = 16_384
 PROBES = 8  # shards that each vector is searched in
 BATCH = 256
+SCAN = 512  # vectors that are held against a shard at once
+SLACK = 1e-5  # by which a float32 score may be too small, for errors of two products and the width of the rounding
+PAIRS = 50_000  # pairs of vectors whose cosine is computed at once
 
 
 class Hnsw:
@@ -193,6 +198,29 @@ def _nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _best(q: np.ndarray, me: np.ndarray, base: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of base, similarity): for each query the ``k`` best rows of ``base`` but itself, exactly, by cosine
+    rounded to six decimals and then by id; ``ids`` ascend. All that may tie with the k-th by the float32 score is
+    computed again in double precision."""
+    s = q.astype(np.float32) @ base.astype(np.float32).T
+    n = s.shape[1]
+    if n > k + 1:  # one of them may be the query itself
+        least = np.partition(s, n - k - 1, axis=1)[:, n - k - 1] - np.float32(SLACK)
+        r, c = np.nonzero(s >= least[:, None])
+    else:
+        r, c = (x.ravel() for x in np.indices(s.shape))
+    other = ids[c] != me[r]
+    r, c = r[other], c[other]
+    sim = np.zeros(len(r))
+    for i in range(0, len(r), PAIRS):
+        a, b = r[i : i + PAIRS], c[i : i + PAIRS]
+        sim[i : i + PAIRS] = np.round(np.einsum("nd,nd->n", q[a], base[b]), 6)
+    order = np.lexsort((c, -sim, r))
+    r, c, sim = r[order], c[order], sim[order]
+    ok = np.arange(len(r)) - np.searchsorted(r, r) < k
+    return r[ok], c[ok], sim[ok]
+
+
 def _centroids(classes: DataFrame, n: int, width: int, seed: int = 5) -> np.ndarray:
     """Unit centroids by spherical k-means over a sample of bounded size: the classes whose hash falls into a share
     that about SAMPLE of them have, or eight for each centroid. It is the same sample every time."""
@@ -220,7 +248,8 @@ def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width:
     Similarity is the cosine rounded to six decimals; of equal similarities the smaller key comes first. Only
     embeddings of ``width`` finite numbers, not all zero, take part. Every key counts by itself, repeated embeddings
     included; keys must be unique and rows without one are left out. Fewer than ``k`` rows come out where there are
-    fewer other vectors. The search is approximate: recall against brute force is measured in the tests and README.
+    fewer other vectors. Only the choice of shards is approximate, and ties are settled exactly among all vectors of the
+    shards that are asked: recall against brute force is measured in the tests and README.
     """
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<float>").alias("vector"))
     # Adding zero makes -0.0 and 0.0 the same bits.
@@ -252,7 +281,7 @@ def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width:
 
     def search(batches):
         """Rows come shard by shard, first those to index, then those that ask; only the former are held."""
-        at, ids, x, graph = None, [], [], None
+        at, ids, x, base = None, [], [], None
         for b in batches:
             where = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()))
             own, vec = b.column(3).to_numpy(), _unit(_matrix(b.column(4), width))
@@ -262,22 +291,17 @@ def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width:
                     continue
                 shard, part, asks = where[s]
                 if at != (shard, part):
-                    at, ids, x, graph = (shard, part), [], [], None
+                    at, ids, x, base = (shard, part), [], [], None
                 if not asks:
                     ids.append(own[s:e]), x.append(vec[s:e])
                     continue
-                if graph is None:
+                if base is None:
                     base_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
                     base = np.concatenate(x) if x else np.zeros((0, width))
-                    graph = Hnsw(base)
-                for i in range(s, e, 2048):
-                    q, me = vec[i : min(i + 2048, e)], own[i : min(i + 2048, e)]
-                    found, _ = graph.search(q, k + 4)
-                    r, c = np.nonzero(found >= 0)
-                    other = base_ids[found[r, c]]
-                    sim = np.round(np.einsum("nd,nd->n", q[r], base[found[r, c]]), 6)
-                    ok = other != me[r]
-                    yield pa.RecordBatch.from_arrays([pa.array(me[r][ok]), pa.array(other[ok]), pa.array(sim[ok])], names=["class", "near", "similarity"])
+                for i in range(s, e, SCAN):
+                    q, me = vec[i : min(i + SCAN, e)], own[i : min(i + SCAN, e)]
+                    r, c, sim = _best(q, me, base, base_ids, k + 4)
+                    yield pa.RecordBatch.from_arrays([pa.array(me[r]), pa.array(base_ids[c]), pa.array(sim)], names=["class", "near", "similarity"])
 
     found = parts.mapInArrow(search, "class long, near long, similarity double")
     by_sim = F.row_number().over(_window("class", F.col("similarity").desc(), F.col("near")))

@@ -193,3 +193,23 @@ def test_neighbours_of_few_and_no_vectors(spark):
     d = spark.createDataFrame([(1, [1.0] + [0.0] * 63), (2, [0.0, 1.0] + [0.0] * 62)], "vec_id long, embedding array<float>")
     assert sorted((r.vec_id, r.neighbour, r.similarity) for r in neighbours(d, "vec_id", "embedding").collect()) == [(1, 2, 0.0), (2, 1, 0.0)]
     assert similar_pairs(d.limit(0), "vec_id", "embedding", 0.8).count() == 0
+
+
+@pytest.mark.parametrize("shard", [4096, 40])
+def test_neighbours_settle_ties_in_a_group_of_scaled_copies_by_key(spark, monkeypatch, shard):
+    import foliospark.operators.hnsw as h
+
+    monkeypatch.setattr(h, "SHARD", shard)
+    r = np.random.default_rng(8)
+    x = vectors(400, 4)
+    x[100:300] = x[0] * r.uniform(0.1, 9, 200)[:, None]  # lengths differ, so the bits of almost all do
+    x[300:330] = x[1] + r.normal(size=(30, 64)) * 2e-5  # alike by less than the rounding
+    x = x.astype(np.float32)
+    ids = r.permutation(400)
+    d = spark.createDataFrame([(int(i), [float(v) for v in e]) for i, e in zip(ids, x)], "vec_id long, embedding array<float>")
+    got = {}
+    for row in neighbours(d, "vec_id", "embedding").orderBy("vec_id", "rank").collect():
+        got.setdefault(row.vec_id, []).append((row.neighbour, row.similarity))
+    want = truth(ids, x.astype(np.float64))
+    group = {int(i) for i in ids[[0, 1, *range(100, 330)]]}
+    assert {i: [j for j, _ in v] for i, v in got.items() if shard > 400 or i in group} == {i: [j for j, _ in v] for i, v in want.items() if shard > 400 or i in group}

@@ -132,6 +132,15 @@ class Families:
         pairs = pairs.join(sig.select(F.col("id").alias("id_a"), F.col("signature").alias("sa")), "id_a").join(sig.select(F.col("id").alias("id_b"), F.col("signature").alias("sb")), "id_b")
         self.links = cut(pairs.select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b"), matches(F.col("sa"), F.col("sb")).alias("matches")))
 
+    def membership(self) -> DataFrame:
+        """(key, rep, n_links) of every row: its class, named by its least key, and with how many other rows it
+        agrees, those of its own class included."""
+        copies = self.classes.select("rep", "copies")
+        ends = self.links.select(F.col("rep_a").alias("rep"), F.col("rep_b").alias("other")).union(self.links.select(F.col("rep_b").alias("rep"), F.col("rep_a").alias("other")))
+        met = salted_join(ends, copies.withColumnRenamed("rep", "other"), ["other"], F.col("rep")).groupBy("rep").agg(F.sum("copies").alias("_n"))
+        n = copies.join(met, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("_n", F.lit(0))).alias("n_links"))
+        return salted_join(self.members, n, ["rep"], F.col(self.key)).select(self.key, "rep", "n_links")
+
     def families(self) -> DataFrame:
         """(key, family_id) of every row; a family is named by its least key, and a row alone is its own family."""
         roots = components(self.links.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))

@@ -50,9 +50,16 @@ def _families(spark: SparkSession, sf_dir: str, threshold: float = families.THRE
 
 
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of classes of equal signatures, by their least ids; ``near_dup_members`` has each document's class."""
     return _families(spark, sf_dir, 0.8).links
 
 
+def near_dup_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and its number of near duplicates. With ``near_dup_pairs`` it gives every pair:
+    those within a class, and those between the members of two linked ones."""
+    return _families(spark, sf_dir, 0.8).membership()
+
+
 def document_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _families(spark, sf_dir).families()
 
@@ -112,7 +119,7 @@ def page_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (exact_dedup, dup_size_gate, shingle_stats, minhash_signature, near_dup_pairs, document_families, canonical_documents, family_roles, superseded_documents, family_report, clean_text, regex_removals, paragraph_dedup, rule_review, text_sample, chunk_markdown, page_fill)
+    for f in (exact_dedup, dup_size_gate, shingle_stats, minhash_signature, near_dup_pairs, near_dup_members, document_families, canonical_documents, family_roles, superseded_documents, family_report, clean_text, regex_removals, paragraph_dedup, rule_review, text_sample, chunk_markdown, page_fill)
 }
 
 _WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
@@ -177,6 +184,8 @@ SQL = {
     "shingle_stats": f"WITH {_SHINGLES} SELECT w.doc_id, count(s)::INT AS shingles, count(DISTINCT s)::INT AS distinct_shingles FROM words w LEFT JOIN shingles USING (doc_id) GROUP BY 1",
     "minhash_signature": f"WITH {_SIGNED} SELECT doc_id, position::INT AS position, least FROM signed",
     "near_dup_pairs": f"WITH {_links(52)} SELECT rep_a, rep_b, matches::INT AS matches FROM links",
+    "near_dup_members": f"""WITH {_SIGNED}, near AS (SELECT a.doc_id FROM signed a JOIN signed b USING (position, least) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id HAVING count(*) >= 52)
+      SELECT m.doc_id, m.rep, count(n.doc_id) AS n_links FROM member m LEFT JOIN near n USING (doc_id) GROUP BY ALL""",
     "document_families": f"WITH RECURSIVE {_FAMILIES} SELECT * FROM fam",
     "canonical_documents": f"WITH RECURSIVE {_CANONICAL} SELECT * FROM canon",
     "family_roles": f"WITH RECURSIVE {_ROLES} SELECT * FROM roles",

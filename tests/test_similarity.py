@@ -141,6 +141,19 @@ def test_families_equal_all_pairs(spark, family):
     assert {i for i, s in status.items() if s == "superseded"} == {i for i, s in role.items() if s == "variant"}
 
 
+def test_membership_gives_every_near_duplicate(spark):
+    texts = [*texts_with_edits(9), "", None, "one two", "One, two"]
+    signed = signatures(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").cache()
+    sig = {r.doc_id: r.signature for r in signed.collect()}
+    alike = {(a, b) for a in sig for b in sig if a != b and sum(x == y for x, y in zip(sig[a], sig[b])) / 64 >= 0.8}
+    f = Families(signed, "doc_id", 0.8)
+    got = {r.doc_id: r for r in f.membership().collect()}
+    assert {i: r.n_links for i, r in got.items()} == {i: sum(a == i for a, _ in alike) for i in sig}
+    linked = {(r.rep_a, r.rep_b) for r in f.links.collect()}
+    reps = {i: r.rep for i, r in got.items()}
+    assert {(a, b) for a in sig for b in sig if a < b and (reps[a] == reps[b] or (min(reps[a], reps[b]), max(reps[a], reps[b])) in linked)} == {(a, b) for a, b in alike if a < b}
+
+
 def test_family_threshold_zero_is_refused(spark):
     with pytest.raises(ValueError):
         Families(spark.createDataFrame([], "doc_id long, signature array<long>"), "doc_id", 0.0)

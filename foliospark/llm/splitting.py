@@ -38,6 +38,7 @@ def boundaries(raw: bytes) -> tuple[list[int], list[int]]:
     at: dict[int, int] = {}
     fenced = raw.startswith(b"```")
     before = b""
+    titled = HEADING.match(raw) is not None
     start = 0
     for m in LINES.finditer(raw):
         line, gap, p = raw[start : m.start()], m.group(), m.end()
@@ -47,13 +48,17 @@ def boundaries(raw: bytes) -> tuple[list[int], list[int]]:
             fenced = not fenced
         before = line or b" "
         blank = gap.count(b"\n") > 1
+        indent = gap[gap.rindex(b"\n") + 1 :]
+        # What is indented by a tab or four blanks is code or within an item, never a heading.
+        h = HEADING.match(nxt) if len(indent) < 4 and b"\t" not in indent and not fenced else None
+        after_title, titled = titled, h is not None
         if fenced:
             at[p] = LINE
-        elif h := HEADING.match(nxt):
+        elif h:
             at[p] = len(h.group(1))
         elif nxt.startswith(b"```") or PAGE_BREAK in nxt[:1]:
             at[p] = BLOCK
-        elif HEADING.match(line):
+        elif after_title:
             at[p] = ITEM  # a heading stays with what follows it for as long as anything else can be cut
         elif blank:
             at[p] = BLOCK
@@ -102,8 +107,11 @@ class Splitter:
         blank_end = np.zeros(len(ends), bool)
         blank_end[1:] = space[ends[1:] - 1]
         places, depth = boundaries(raw)
-        t = np.searchsorted(ends, places) if places else np.zeros(0, np.int64)
-        exact = (ends[np.minimum(t, len(ends) - 1)] == places) if places else np.zeros(0, bool)
+        # A token may join the last blank of an indentation to what follows, so a line begins at the first token end
+        # from its line feed on, its first ink at the latest.
+        first = [raw.rindex(b"\n", 0, p) + 1 if raw[p - 1] in b" \t\r" else p for p in places]
+        t = np.searchsorted(ends, np.array(first, np.int64))
+        exact = ends[t] <= np.array(places, np.int64)
         t, depth = t[exact], np.array(depth, np.int64)[exact]
         return raw, ends, ok, (safe, closed, blank_end), np.concatenate([[0], t, [len(ends) - 1]]), np.concatenate([[0], depth, [0]])
 

@@ -301,3 +301,27 @@ def test_misreadings_are_undone():
 
 def test_roman_and_decorated_page_numbers():
     assert [scanlines.page_value(x) for x in ("12", " - 7 -", "[33]", "p. 5", "Page 53 of 412", "xiv", "cccx.", "S. 9", "ixx", "12 dice", "mill", "")] == [12, 7, 33, 5, 53, 14, 310, 9, None, None, None, None]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a b\n - c d\n - e f\n" * 60,
+        "- outer item of a list\n" + "    - inner item of it\n  * another one here\n" * 60,
+        "def f(x):\n    if x:\n        return x + 1\n\n    # a remark\n    y = 2\n\treturn y\n" * 40,
+    ],
+)
+def test_indented_lines_begin_pieces(text):
+    check_pieces(text, 64, 0)
+    p = splitting.Splitter(tokenizer())
+    prepared = p.prepare(text)
+    raw, ends, t = prepared[0], prepared[1], prepared[4]
+    lines = {i + 1 for i, c in enumerate(raw[:-1]) if raw[i : i + 1] == b"\n" and raw[i + 1 : i + 2] != b"\n"}
+    assert lines <= {int(ends[i]) for i in t}
+    pieces = [raw[s:e] for s, e, _, _ in p.split(prepared, 64, 0)]
+    assert len(pieces) > 3 and all(x.endswith(b"\n") for x in pieces)
+
+
+def test_indented_remarks_are_no_headings():
+    places, depth = splitting.boundaries(b"   # Head\nx = 1\n    # a remark\n\t# another\n  ## Second\n")
+    assert [d for d in depth if d < splitting.BLOCK] == [2]

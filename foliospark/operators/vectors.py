@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +14,7 @@ from .hnsw import usable
 
 TOP_K = 5
 QUERY_BLOCK_FLOATS = 8_000_000  # numbers of queries held by a task at once, 64 MB
+ASKED = 512  # queries that are held against 2,048 vectors at once
 
 
 def vector_id(filename: Column, level: Column, section: Column, index: Column) -> Column:
@@ -59,18 +62,19 @@ def search(vectors: DataFrame, key: str, embedding: str, queries: DataFrame, que
 
     def part(ids: np.ndarray, q: np.ndarray) -> DataFrame:
         def run(batches):
-            best_s = np.full((len(ids), 0), -np.inf)
-            best_v = np.zeros((len(ids), 0), np.int64)
+            best_s = np.full((len(ids), k), -np.inf)
+            best_v = np.zeros((len(ids), k), np.int64)
             for b in batches:
                 v, x = b.column(0).to_numpy(), unit(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
-                for i in range(0, len(v), 2048):
-                    s = np.round(q @ x[i : i + 2048].T, 6)
+                for i, j in product(range(0, len(v), 2048), range(0, len(ids), ASKED)):
+                    here = slice(j, j + ASKED)
+                    s = np.round(q[here] @ x[i : i + 2048].T, 6)
                     own = np.broadcast_to(v[i : i + 2048], s.shape)
                     if exclude_self:
-                        s = np.where(own == ids[:, None], -np.inf, s)
-                    s, own = np.concatenate([best_s, s], 1), np.concatenate([best_v, own], 1)
+                        s = np.where(own == ids[here, None], -np.inf, s)
+                    s, own = np.concatenate([best_s[here], s], 1), np.concatenate([best_v[here], own], 1)
                     order = np.lexsort((own, -s), axis=1)[:, :k]
-                    best_s, best_v = np.take_along_axis(s, order, 1), np.take_along_axis(own, order, 1)
+                    best_s[here], best_v[here] = np.take_along_axis(s, order, 1), np.take_along_axis(own, order, 1)
             r, c = np.nonzero(np.isfinite(best_s))
             for i in range(0, len(r), 50_000):
                 a, d = r[i : i + 50_000], c[i : i + 50_000]

@@ -60,6 +60,14 @@ def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_copies(near, v, new, "vec_id", "query_id", "filename", COPY_THRESHOLD)
 
 
+def batch_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors of the new batch whose nearest stored vector is a near copy from another file; all of the batch."""
+    stored, new = _batches(spark, sf_dir)
+    new = new.select(F.col("vec_id").alias("query_id"), "filename", "embedding")
+    near = vectors.search(stored, "vec_id", "embedding", new, "query_id", "embedding", 1)
+    return vectors.near_copies(near, stored, new, "vec_id", "query_id", "filename", COPY_THRESHOLD)
+
+
 def usable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "vectors")
     return v.groupBy("model").agg(F.count("*").alias("vectors"), F.count_if(usable(F.col("embedding"), 64)).alias("usable"))
@@ -110,7 +118,7 @@ def chunk_store_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (vector_ids, latest_chunks, upsert_vectors, replace_file_vectors, knn_queries, chunk_dedup, usable_vectors, score_as_similarity, golden_recall, recall_at_k, rag_prompts, result_snippets, section_texts, chunk_store_report)
+    for f in (vector_ids, latest_chunks, upsert_vectors, replace_file_vectors, knn_queries, chunk_dedup, batch_copies, usable_vectors, score_as_similarity, golden_recall, recall_at_k, rag_prompts, result_snippets, section_texts, chunk_store_report)
 }
 
 _ID = """(SELECT h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || translate(h[17:17], '0123456789abcdef', '89ab89ab89ab89ab') || h[18:20] || '-' || h[21:32]
@@ -132,6 +140,10 @@ SQL = {
       AND (filename IS NULL OR filename NOT IN (SELECT filename FROM last WHERE fresh AND filename IS NOT NULL)))""",
     "knn_queries": f"WITH {_KNN} SELECT query_id, rank::INT AS rank, vec_id, score FROM knn",
     "chunk_dedup": f"WITH {_KNN} SELECT query_id FROM knn JOIN ok o USING (vec_id) JOIN ok n ON n.vec_id = query_id WHERE rank = 1 AND score >= {COPY_THRESHOLD} AND coalesce(o.filename, '') <> '' AND o.filename IS DISTINCT FROM n.filename",
+    "batch_copies": f"""WITH {_BATCHES}, ok AS MATERIALIZED (SELECT l.vec_id, l.filename, fresh, embedding::DOUBLE[64] AS e FROM last l JOIN vectors v ON v.vec_id = l.vec_id WHERE {_USABLE}),
+      scored AS (SELECT n.vec_id AS query_id, n.filename AS own, o.filename AS other, o.vec_id, round(array_cosine_similarity(n.e, o.e), 6) AS score FROM ok n JOIN ok o ON n.fresh AND NOT o.fresh),
+      near AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) = 1)
+      SELECT query_id FROM near WHERE score >= {COPY_THRESHOLD} AND coalesce(other, '') <> '' AND other IS DISTINCT FROM own""",
     "usable_vectors": f"SELECT model, count(*) AS vectors, count_if({_USABLE}) AS usable FROM vectors GROUP BY 1",
     "score_as_similarity": "SELECT result_id, round(CASE store WHEN 'qdrant' THEN score WHEN 'chroma' THEN 1 - score END, 6) AS similarity FROM search_results",
     "golden_recall": f"WITH {_HITS} SELECT item_id, hit_rank IS NOT NULL AS hit, hit_rank FROM hits",

@@ -3,6 +3,7 @@ import re
 import uuid
 import warnings
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,29 @@ def test_search_and_near_copies(spark):
     assert one(spark.sql("select array(3.0, 4.0) a, array(4.0, 3.0) b").select(F.round(vectors.cosine(F.col("a"), F.col("b")), 6))) == 0.96
 
 
+def test_batch_copies_ask_for_every_row_of_the_batch(spark, tmp_path):
+    from datetime import datetime
+
+    from foliospark.plans import retrieval
+
+    e = lambda i: [float(j == i) for j in range(64)]
+    rows = [(7, "a", e(0), 0, 1), (8, "b", e(1), 1, 1), (101, "b", e(0), 0, 3), (102, "b", e(1), 9, 3), (103, "c", e(2), 0, 3), (104, "c", e(0), 4, 3), (105, "d", e(2), 0, 3)]
+    schema = "vec_id long, filename string, embedding array<float>, chunk_index int, indexed_at timestamp_ntz, level string, section string"
+    spark.createDataFrame([(i, f, v, n, datetime(2025, m, 1), None, None) for i, f, v, n, m in rows], schema).write.parquet(f"{tmp_path}/vectors.parquet")
+    assert sorted(r.query_id for r in retrieval.batch_copies(spark, str(tmp_path)).collect()) == [101, 104]
+    assert retrieval.chunk_dedup(spark, str(tmp_path)).count() == 0  # its query set is the search's
+
+
+def test_search_with_more_queries_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "ASKED", 3)
+    x = np.random.default_rng(1).normal(size=(40, 4))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, e array<double>")
+    got = {(r.q, r["rank"]): r.id for r in vectors.search(d, "id", "e", d.withColumnRenamed("id", "q"), "q", "e", 2, 4, True).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6) - 9 * np.eye(40)
+    assert got == {(i, k + 1): int(j) for i in range(40) for k, j in enumerate(np.argsort(-s[i], kind="stable")[:2])}
+
+
 def test_similarity_of_stores(spark):
     d = spark.createDataFrame([(0.9, "qdrant"), (0.25, "chroma"), (200.0, "chroma_l2"), (None, "qdrant")], "s double, st string")
     assert [r[0] for r in d.select(vectors.similarity_of(F.col("s"), F.col("st"))).collect()] == [0.9, 0.75, None, None]

@@ -23,7 +23,7 @@ M, EF_BUILD, EF_SEARCH = 12, 48, 48
 SAMPLE = 20_000  # vectors that the centroids are fitted on, at most; every vector is indexed
 SHARD = 4096  # vectors aimed at in a shard
 MOST_CENTROIDS = 16_384
-PROBES = 8  # shards that each vector is searched in
+PROBES = 8  # shards that each vector is searched in, at least; see _probes
 BATCH = 256
 SCAN = 512  # vectors that are held against a shard at once
 SLACK = 1e-5  # by which a float32 score may be too small, for errors of two products and the width of the rounding
@@ -242,6 +242,12 @@ def _centroids(classes: DataFrame, n: int, width: int, seed: int = 5) -> np.ndar
     return c
 
 
+def _probes(shards: int) -> int:
+    """How many shards each vector asks: twice the root of their number, since the more there are, the more of them
+    share a vector's neighbours."""
+    return min(shards, max(PROBES, int(np.ceil(2 * np.sqrt(shards)))))
+
+
 def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width: int = 64) -> DataFrame:
     """(key, neighbour, rank, similarity): the ``k`` most similar other vectors of each usable vector.
 
@@ -260,7 +266,7 @@ def neighbours(vectors: DataFrame, key: str, embedding: str, k: int = 5, width:
     classes = classes.select("class", "vector")
     n = classes.count()
     centroids = _centroids(classes, n, width)
-    probes = min(PROBES, len(centroids))
+    probes = _probes(len(centroids))
 
     def route(batches):
         for b in batches:

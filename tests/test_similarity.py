@@ -202,6 +202,21 @@ def test_neighbours_over_many_shards_with_copies_and_unusable_rows(spark, monkey
         assert [j for j, _ in got[i]] == [j for j in sorted(copies) if j != i][:5]
 
 
+def test_recall_holds_over_a_hundred_shards(spark, monkeypatch):
+    import foliospark.operators.hnsw as h
+
+    monkeypatch.setattr(h, "SHARD", 30)
+    r = np.random.default_rng(6)
+    x = (r.normal(size=(3000, 12)) @ r.normal(size=(12, 64)) + r.normal(size=(3000, 64)) * 0.2).astype(np.float32)  # no clusters
+    d = spark.createDataFrame([(i, [float(v) for v in e]) for i, e in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for row in neighbours(d, "vec_id", "embedding").collect():
+        got.setdefault(row.vec_id, set()).add(row.neighbour)
+    want = truth(np.arange(len(x)), x.astype(np.float64))
+    recall = sum(len(got[i] & {j for j, _ in w}) for i, w in want.items()) / (5 * len(want))
+    assert recall >= 0.97, recall
+
+
 def test_neighbours_of_few_and_no_vectors(spark):
     d = spark.createDataFrame([(1, [1.0] + [0.0] * 63), (2, [0.0, 1.0] + [0.0] * 62)], "vec_id long, embedding array<float>")
     assert sorted((r.vec_id, r.neighbour, r.similarity) for r in neighbours(d, "vec_id", "embedding").collect()) == [(1, 2, 0.0), (2, 1, 0.0)]

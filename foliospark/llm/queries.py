@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut, table, texts
 from . import leaks, lookalike, packing, scans, site_lines, splitting
+from .hnsw import neighbours, similar_pairs
+from .setsketch import NearDuplicates
+
+SIMILAR = 0.7
 
 
 def _look_alike_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +32,15 @@ def p1_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.consistent_form(chunks.union(extracts), "text").select("tab", "id", "form")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_pairs(table(spark, sf_dir, "vectors"), "vec_id", "embedding", 0.8)
+
+
+def p2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours of every vector; as a search's log would rank them."""
+    return neighbours(table(spark, sf_dir, "vectors"), "vec_id", "embedding")
+
+
 def _scanned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.try_element_at("metadata", F.lit("title"))
     return scans.scanned_pages(texts(spark, sf_dir, "extracts", "extract_id", "source_file", "content", "metadata"), "extract_id", "source_file", "content", title)
@@ -49,6 +62,21 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_site_lines(texts(spark, sf_dir, "extracts", "extract_id", "source_file", "content"), "extract_id", "source_file", "content").select("extract_id", "content")
 
 
+def _stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tab, id, text) of all chunks and extracts."""
+    c = texts(spark, sf_dir, "chunks", "chunk_id", "text").select(F.lit("chunks").alias("tab"), F.col("chunk_id").alias("id"), "text")
+    e = texts(spark, sf_dir, "extracts", "extract_id", "content").select(F.lit("extracts").alias("tab"), F.col("extract_id").alias("id"), F.col("content").alias("text"))
+    return c.union(e)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(_stored_texts(spark, sf_dir), SIMILAR).pairs()
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NearDuplicates(_stored_texts(spark, sf_dir), SIMILAR).groups()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
 
@@ -75,5 +103,13 @@ def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_texts(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _limits(spark, sf_dir, "split"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p3_found, p3_text, p4_found, p4_clean, p6_pack, p6_fill, p7_found, p8_split)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p2_found, p2_neighbours, p3_found, p3_text, p4_found, p4_clean, p5_found, p5_groups, p6_pack, p6_fill, p7_found, p8_split)}
+# The exact answer. The search is approximate; on one shard of this size it finds all neighbours.
+_NEAR = """ok AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[64] AS e FROM vectors WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+near AS MATERIALIZED (SELECT a.vec_id, b.vec_id AS neighbour, round(array_cosine_similarity(a.e, b.e), 6) AS similarity, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(array_cosine_similarity(a.e, b.e), 6) DESC, b.vec_id) AS rank
+  FROM ok a JOIN ok b ON a.vec_id <> b.vec_id QUALIFY rank <= 5)"""
+SQL: dict[str, str] = {
+    "p2_found": f"WITH {_NEAR} SELECT DISTINCT least(vec_id, neighbour) AS vec_a, greatest(vec_id, neighbour) AS vec_b FROM near WHERE similarity >= 0.8",
+    "p2_neighbours": f"WITH {_NEAR} SELECT vec_id, neighbour, rank::INT AS rank, similarity FROM near",
+}

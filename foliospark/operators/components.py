@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .joins import salted_join
 
+SPREAD = 4  # places that a hub's neighbours are spread over
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step. Each node links its larger (or, for the small star, smaller) neighbours to the least node of its
@@ -14,11 +16,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        out = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = salted_join(both, least, ["u"], F.col("v"), SPREAD).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(least, "u")
+        joined = salted_join(down, least, ["u"], F.col("v"), SPREAD)
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
     return out.filter("u <> v").distinct()
 

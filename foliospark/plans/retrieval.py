@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import retrieval, vectors
-from ..operators.hnsw import usable
 from ..session import cut, table
 
 COPY_THRESHOLD = 0.95
@@ -70,7 +69,7 @@ def batch_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "vectors")
-    return v.groupBy("model").agg(F.count("*").alias("vectors"), F.count_if(usable(F.col("embedding"), 64)).alias("usable"))
+    return v.groupBy("model").agg(F.count("*").alias("vectors"), F.count_if(vectors.usable(F.col("embedding"), 64)).alias("usable"))
 
 
 def score_as_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:

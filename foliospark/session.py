@@ -61,11 +61,13 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; only where none is set, as in tests, a
-    temporary one of this machine."""
+    """The folder in spark.checkpoint.dir, which all executors share; only where none is set and all runs on this
+    machine, as in tests, a temporary one."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="foliospark-")
         atexit.register(shutil.rmtree, where[7:], True)
         sc.setCheckpointDir(where)

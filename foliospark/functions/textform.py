@@ -2,54 +2,92 @@
 
 The text is decomposed (NFD), each character is replaced by its prototype, and the result is decomposed again and, for
 output, composed (NFC). Prototypes come from the Unicode look-alike data inside the ICU library that Spark ships;
-they are read once on the driver in a single call and sent along with the function. Three rules keep apart what a
-reader can tell apart: ASCII characters are their own prototypes (ICU folds ``I``, ``l``, ``1`` and ``|`` into one),
-a letter only becomes a single ASCII letter of the same case, and combining marks never change.
+they are read once on the driver in two calls and sent along with the function.
+
+Characters of one prototype and one kind (capital, small letter, caseless letter, digit, other sign) are one class. Its
+representative is its ASCII character, else that of the most usual script, and replaces all others. So what a reader can
+tell apart stays apart: ASCII characters (ICU folds ``I``, ``l``, ``1`` and ``|`` into one), letter case, letters and
+digits, raised and lowered characters, and combining marks, which never change. A caseless letter counts as the capital or
+small ASCII letter that it looks like.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata as ud
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
 # Characters that leave no ink.
-INVISIBLE = "­᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
+INVISIBLE = "\u00ad\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff"
 # Hyphens drawn as the ASCII one.
 HYPHENS = "‐‑﹣－"
-# Greek letters whose ICU prototype a reader does not take for the letter itself.
-DISTINCT = "αγικσυ"
+# The small Greek letters that a reader does take for what ICU says; all others are themselves.
+GREEK_ALIKE = "νορ"
+# Dashes and quotation marks, which differ from the ASCII ones in length or shape.
+SHAPED = "‒–—―‘’‛“”„‟′″‴‵‶‷‹›«»´¨¸"
+CLICK = "ǃ"  # the one letter that looks like a punctuation mark
 LATIN_LIGATURES = range(0xFB00, 0xFB07)
+GREEK_SMALL = range(0x3B1, 0x3CA)
+USUAL = (range(0x180), range(0x400, 0x460), range(0x370, 0x400))  # scripts that a representative is taken from first
 LAST = 0x20000
 
 _tables: dict[int, dict[int, str]] = {}
 
 
-def _prototypes(spark: SparkSession, chars: list[str]) -> list[str]:
+def _prototypes(spark: SparkSession, texts: list[str]) -> list[str]:
     checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
-    return checker.getSkeleton("\n".join(chars)).split("\n")
+    return checker.getSkeleton("\n".join(texts)).split("\n")
+
+
+def _kind(c: str, proto: str) -> str:
+    kind = ud.category(c)
+    if kind in ("Lo", "Lt", "Nl"):
+        return "P" if c == CLICK else ud.category(proto) if len(proto) == 1 and proto.isascii() and proto.isalpha() else "Lo"
+    return kind if kind in ("Lu", "Ll", "Nd") else "P"
+
+
+def _rank(c: str) -> tuple[int, int]:
+    return next((i for i, r in enumerate(USUAL) if ord(c) in r), len(USUAL)), ord(c)
 
 
 def _base_table(spark: SparkSession) -> dict[int, str]:
     """What one decomposed character is replaced by."""
-    chars = [chr(o) for o in range(0x80, LAST) if ud.category(chr(o)) not in ("Cn", "Cs", "Co", "Cc")]
+    chars = [chr(o) for o in range(0x21, LAST) if ud.category(chr(o)) not in ("Cn", "Cs", "Co", "Cc")]
+    plain = [ud.normalize("NFKC", c) for c in chars]
     out: dict[int, str] = {}
-    for c, proto in zip(chars, _prototypes(spark, chars)):
+    classes: dict[tuple[str, str], list[str]] = defaultdict(list)
+    alike: dict[str, tuple[str, str]] = {}
+    for c, compat, proto, same in zip(chars, plain, _prototypes(spark, chars), _prototypes(spark, plain)):
         kind, how = ud.category(c), ud.decomposition(c)
-        if c in INVISIBLE:
+        if c.isascii():
+            classes[proto, _kind(c, proto)].append(c)
+        elif c in INVISIBLE or not proto:
             out[ord(c)] = ""
         elif c in HYPHENS:
             out[ord(c)] = "-"
         elif kind == "Zs":
             out[ord(c)] = " "
         elif how.startswith(("<wide>", "<narrow>")) or ord(c) in LATIN_LIGATURES:
-            out[ord(c)] = ud.normalize("NFKC", c)
-        elif kind in ("Lu", "Ll") and len(proto) == 1 and c not in DISTINCT:
-            letter = "I" if kind == "Lu" and proto == "l" else proto
-            if letter.isascii() and ud.category(letter) == kind:
-                out[ord(c)] = letter
-    return out
+            out[ord(c)] = compat
+        elif kind in ("Mn", "Mc", "Me", "Lm") or how.startswith(("<super>", "<sub>")) or c in SHAPED or (how and how[0] != "<"):
+            continue  # marks and what is raised stay; what has a canonical decomposition is replaced part by part
+        elif ord(c) in GREEK_SMALL and c not in GREEK_ALIKE:
+            continue
+        elif how and same == proto and compat != c:
+            out[ord(c)] = compat  # drawn as its plain characters
+        elif len(proto) == 1 or not proto.isascii():
+            alike[c] = proto, _kind(c, proto)
+            classes[alike[c]].append(c)
+    for c, key in alike.items():
+        members = classes[key]
+        ascii_ = [m for m in members if m.isascii()]
+        first = next((m for m in ascii_ if m == key[0]), ascii_[0]) if ascii_ else min(members, key=_rank)
+        if first != c:
+            out[ord(c)] = first
+    # What was made plain may have a representative in turn.
+    return {o: ud.normalize("NFD", new).translate(out) if new else new for o, new in out.items()}
 
 
 def form_table(spark: SparkSession) -> dict[int, str]:

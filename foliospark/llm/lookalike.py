@@ -64,7 +64,7 @@ def look_alike_pairs(keys: DataFrame) -> DataFrame:
     variants = variants.join(several, ["tab", "form_key"], "left_semi")
     a = variants.select("tab", "form_key", F.col("raw_key").alias("raw_a"))
     b = variants.select("tab", "form_key", F.col("raw_key").alias("raw_b"))
-    pairs = a.join(b, ["tab", "form_key"]).filter("raw_a < raw_b").select("tab", "raw_a", "raw_b")
+    pairs = grid_join(a, b, ["tab", "form_key"], F.col("raw_a"), F.col("raw_b"), 3).filter("raw_a < raw_b").select("tab", "raw_a", "raw_b")
     rows = salted_join(keys, several, ["tab", "form_key"], F.col("id"), how="left_semi")
     found = salted_join(rows.select("tab", F.col("raw_key").alias("raw_a"), F.col("id").alias("x")), pairs, ["tab", "raw_a"], F.col("x"))
     found = grid_join(found, rows.select("tab", F.col("raw_key").alias("raw_b"), F.col("id").alias("y")), ["tab", "raw_b"], F.col("x"), F.col("y"))

@@ -1,10 +1,11 @@
 """Problem 8: cutting long texts into pieces at natural boundaries, with overlap.
 
-A text's structure is a tree: sections by heading level, blocks (paragraphs, tables, fenced code), items, rows and
-lines, sentences. It is kept as the places where one node ends and the next begins, each with the depth of the node that
-begins there. Packing descends into a node only if it is larger than a piece, and joins neighbouring subtrees, from the
-bottom up, while they fit. A sentence larger than a piece is cut between words, and a word larger than a piece between
-tokens.
+A text's structure is a tree: sections by heading level (Markdown, underlined or HTML headings), blocks (paragraphs, tables,
+fenced code), list items by their nesting, rows and lines, sentences. It is kept as the places where one node ends and the
+next begins, each with the depth of the node that begins there. A node that fits is a piece; of one that doesn't, those
+children that fit are merged with the siblings beside them while they fit, and only oversized children are descended into. So
+a piece is always whole siblings, and what is left over of a node isn't joined to the next one. A sentence larger than a
+piece is cut between words, and a word larger than a piece between tokens.
 
 All of it works on one tokenisation of the whole text. Ends of words and of lines are ends of pre-tokens, so pieces cut
 there have the same tokens on their own; where a piece begins or ends elsewhere, its first or last word is counted
@@ -22,9 +23,13 @@ from pyspark.sql import functions as F
 
 from .tokens import TOKENIZER, Tokenizer, tokenizer
 
-BLOCK, ITEM, LINE, SENTENCE = 7, 8, 9, 10  # depths below the six levels of headings
+BLOCK, ITEM, LINE, SENTENCE = 7, 8, 15, 16  # depths below the six levels of headings
+NESTED = LINE - ITEM - 1  # levels of items within items; what is nested deeper counts as the deepest
 LINES = re.compile(rb"\n[ \t\r\n]*")
 HEADING = re.compile(rb"(#{1,6})[ \t\xc2]")
+HTML_HEADING = re.compile(rb"<h([1-6])[ \t>]", re.I)
+UNDERLINED = re.compile(rb"[^\n|#<>\-*+=][^\n|]*\n(=+|-{2,})[ \t\r]*(?:\n|\Z)")
+UNDERLINE = re.compile(rb"(?:=+|-{2,})[ \t\r]*(?:\n|\Z)")
 LIST_ITEM = re.compile(rb"[ \t]*(?:[-*+]|\d{1,3}[.)])[ \t]")
 SENTENCE_END = re.compile(rb"[.!?]+(?:[\"')\]]|\xe2\x80[\x9c\x9d\x99]|\xc2\xbb)*(?=[ \t\n])")
 PAGE_BREAK = b"\x0c"
@@ -33,12 +38,23 @@ WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa
 MARGIN = 4  # tokens kept free for counting a piece's first and last word again
 
 
+def _heading(raw: bytes, p: int) -> int:
+    """The level of the heading that begins at a place, or 0."""
+    if m := HEADING.match(raw, p):
+        return len(m[1])
+    if m := HTML_HEADING.match(raw, p):
+        return int(m[1])
+    m = UNDERLINED.match(raw, p)
+    return 0 if m is None else 1 if m[1][:1] == b"=" else 2
+
+
 def boundaries(raw: bytes) -> tuple[list[int], list[int]]:
     """Where nodes begin, as byte offsets, and their depths."""
     at: dict[int, int] = {}
     fenced = raw.startswith(b"```")
     before = b""
-    titled = HEADING.match(raw) is not None
+    titled = not fenced and _heading(raw, 0) > 0
+    listed = LIST_ITEM.match(raw) is not None
     start = 0
     for m in LINES.finditer(raw):
         line, gap, p = raw[start : m.start()], m.group(), m.end()
@@ -49,23 +65,29 @@ def boundaries(raw: bytes) -> tuple[list[int], list[int]]:
         before = line or b" "
         blank = gap.count(b"\n") > 1
         indent = gap[gap.rindex(b"\n") + 1 :]
+        width = len(indent.expandtabs(4))
         # What is indented by a tab or four blanks is code or within an item, never a heading.
-        h = HEADING.match(nxt) if len(indent) < 4 and b"\t" not in indent and not fenced else None
-        after_title, titled = titled, h is not None
+        level = _heading(raw, p) if width < 4 and not fenced else 0
+        after_title = titled
+        item = not fenced and not level and LIST_ITEM.match(nxt) is not None
+        titled = level > 0 or (titled and not blank and UNDERLINE.match(raw, p) is not None)
         if fenced:
             at[p] = LINE
-        elif h:
-            at[p] = len(h.group(1))
+        elif level:
+            at[p] = level
+        elif after_title:
+            at[p] = SENTENCE  # a heading stays with what follows it for as long as anything else can be cut
         elif nxt.startswith(b"```") or PAGE_BREAK in nxt[:1]:
             at[p] = BLOCK
-        elif after_title:
-            at[p] = ITEM  # a heading stays with what follows it for as long as anything else can be cut
+        elif item:
+            at[p] = ITEM + min(width // 2, NESTED) if listed or not blank else BLOCK
         elif blank:
-            at[p] = BLOCK
-        elif nxt.startswith(b"|") or LIST_ITEM.match(nxt):
+            at[p] = ITEM + NESTED if listed and width > 1 else BLOCK
+        elif nxt.startswith(b"|"):
             at[p] = ITEM
         else:
             at[p] = LINE
+        listed = item or (listed and not level and (width > 1 or not blank))
     for m in SENTENCE_END.finditer(raw):
         at.setdefault(m.end(), SENTENCE)
     at.pop(0, None)
@@ -132,27 +154,27 @@ class Splitter:
 
     def _pack(self, lo: int, hi: int, t: np.ndarray, depth: np.ndarray, most: int, ok: np.ndarray, safe: np.ndarray) -> list[int]:
         """Token places at which the pieces of the node between two places end."""
+        s, e = int(t[lo]), int(t[hi])
+        if e - s <= most:
+            return [e]
+        if hi - lo == 1:
+            return [*self._long(s, e, most, ok, safe), e]
+        inner = depth[lo + 1 : hi]
+        children = [lo, *(np.flatnonzero(inner == inner.min()) + lo + 1).tolist(), hi]
         out: list[int] = []
-        stack = [(lo, hi)]
-        begin = int(t[lo])
-        while stack:
-            lo, hi = stack.pop()
-            s, e = int(t[lo]), int(t[hi])
-            if e - s <= most:
-                ends = [e]
-            elif hi - lo == 1:
-                ends = [*self._long(s, e, most, ok, safe), e]
-            else:
-                inner = depth[lo + 1 : hi]
-                cuts = [lo, *(np.flatnonzero(inner == inner.min()) + lo + 1).tolist(), hi]
-                stack.extend(reversed(list(zip(cuts, cuts[1:]))))
+        begin = None  # of the piece that the next child may join
+        for a, b in zip(children, children[1:]):
+            x, y = int(t[a]), int(t[b])
+            if y == x:
                 continue
-            for x in ends:
-                last = out[-2] if len(out) > 1 else begin
-                if out and x - last <= most:
-                    out[-1] = x
-                else:
-                    out.append(x)
+            if y - x > most:
+                out += self._pack(a, b, t, depth, most, ok, safe)
+                begin = None
+            elif begin is not None and y - begin <= most:
+                out[-1] = y
+            else:
+                begin = x
+                out.append(y)
         return out
 
     def split(self, prepared, limit: int, overlap: int) -> list[tuple[int, int, int, int]]:

@@ -188,6 +188,34 @@ def test_splitting_prefers_headings(spark):
     assert splitting.split_texts(d.limit(0), "k", "text", [(256, 0)]).count() == 0
 
 
+STRUCTURED = ["# A\n\n" + "".join(f"Paragraph {i} of the part says this and that, and then more of it.\n\n" for i in range(7)) + "# B\n\nOne line.\n\n# C\n\nAnother.\n",
+              "Title\n=====\n\n- one of many items\n  - nested in it\n    - and deeper, with words\n  - nested too\n- two of them\n\n" * 8 + "Part\n----\n" + "text of the part. " * 60 + "\n<h2>Html</h2>\n" + "more text. " * 90]
+
+
+@pytest.mark.parametrize("limit", [40, 100, 230])
+def test_pieces_are_whole_siblings(limit):
+    splitter = splitting.Splitter(tokenizer())
+    for text in STRUCTURED + clean_texts(40):
+        prepared = splitter.prepare(text)
+        raw, ends, _, _, t, depth = prepared
+        level = {int(ends[i]): int(d) for i, d in zip(t[::-1], depth[::-1])}  # of several places at one token, the first
+        pieces = splitter.split(prepared, limit, 0)
+        assert not pieces or (pieces[0][0] == 0 and pieces[-1][1] == len(raw) and all(a[1] == b[0] for a, b in zip(pieces, pieces[1:])))
+        for s, e, n, _ in pieces:
+            assert n <= limit
+            within = [d for p, d in level.items() if s < p < e]
+            if s in level and e in level and within:
+                assert min(within) >= max(level[s], level[e]), raw[s:e]
+
+
+def test_structure_has_nested_items_and_all_kinds_of_headings():
+    raw = STRUCTURED[1].encode()
+    depth = dict(zip(*splitting.boundaries(raw)))
+    kind = lambda x: depth[raw.index(x)]
+    assert kind(b"Part\n---") == 2 and kind(b"<h2>") == 2 and depth[raw.index(b"Title", 5)] == 1
+    assert kind(b"- nested in") == splitting.ITEM + 1 and kind(b"- and deeper") == splitting.ITEM + 2 and kind(b"- nested too") == splitting.ITEM + 1 and kind(b"- two") == splitting.ITEM
+
+
 def leak_truth(docs, items, run, form):
     runs = defaultdict(set)
     for i, p in items:

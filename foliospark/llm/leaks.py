@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.textform import text_form
 from ..functions.words import words_of
+from ..session import cut
 
 RUN = 12
 WINDOW = 2  # runs that a passage is long, at most
@@ -32,8 +35,8 @@ MOST_INDEX_WORDS = 2_000_000  # words of items in one index, some 200 MB; more i
 class ItemIndex:
     """BM25 postings of items, ready for block-max WAND."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], run: int = RUN):
-        self.run = run
+    def __init__(self, items: list[tuple[int, list[str]]], run: int = RUN, questions: dict[int, list[str]] | None = None):
+        self.run, self.questions = run, questions or {}
         self.items = [(i, w) for i, w in items if len(w) >= run]
         lengths = [len(w) for _, w in self.items]
         mean = sum(lengths) / max(len(lengths), 1)
@@ -133,38 +136,75 @@ class ItemIndex:
         return out
 
 
-def leaks(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str, run: int = RUN) -> DataFrame:
-    """(key, item_key) of every document that contains at least ``run`` consecutive words of an item's passage.
+    def overlap(self, words: list[str], item: int) -> tuple[int, int, float | None]:
+        """(longest run of the item's passages that the words contain, longest run of its question, share of the
+        question's distinct words that occur); the share of a question without words is null."""
+        asked = self.questions.get(item, [])
+        kinds = set(asked)
+        share = round(len(kinds & set(words)) / len(kinds), 6) if kinds else None
+        return max(longest_run(words, w) for i, w in self.items if i == item), longest_run(words, asked), share
+
+
+def longest_run(words: list[str], of: list[str]) -> int:
+    """The length of the longest run of consecutive words that both lists have."""
+    places: dict[str, list[int]] = defaultdict(list)
+    for p, w in enumerate(of):
+        places[w].append(p)
+    best, ends = 0, {}
+    for w in words:
+        ends = {p: ends.get(p - 1, 0) + 1 for p in places.get(w, ())}
+        best = max(best, max(ends.values(), default=0))
+    return best
+
+
+def leaks(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str, question: str | None = None, run: int = RUN) -> DataFrame:
+    """(key, item_key) of every document that contains at least ``run`` consecutive words of an item's passage. With
+    ``question`` also (passage_run, question_run, question_share): how many words of the passage and of the question
+    stand there in a run, and what share of the question's distinct words the document has.
 
     Words are compared in consistent form and lower case, whatever stands between them. Every item with such a run
     counts, also if several share it; an item's id counts once a document. Null, empty and shorter texts and passages
-    match nothing. The items are the fixed query set: they are read to the driver in id order, in portions of a bounded
-    number of words, and each portion's index is searched over all documents.
+    match nothing; a null question has runs of 0 and no share. The items are the fixed query set: they are read to the
+    driver in id order, in portions of a bounded number of words, and each portion's index is searched over all
+    documents. If there are several portions, the documents are brought into words once, as a table.
     """
     form = text_form(documents.sparkSession)
     docs = documents.select(F.col(key).cast("long").alias(key), F.col(text).alias("_text")).filter(f"`{key}` is not null and _text <> ''")
-    rows = items.select(F.col(item_key).cast("long").alias("item"), F.col(passage).alias("passage")).filter("item is not null and passage <> ''")
-    schema = f"`{key}` long, `{item_key}` long"
+    asked = F.col(question) if question else F.lit(None).cast("string")
+    rows = items.select(F.col(item_key).cast("long").alias("item"), F.col(passage).alias("passage"), asked.alias("question")).filter("item is not null and passage <> ''")
+    schema = f"`{key}` long, `{item_key}` long" + (", passage_run int, question_run int, question_share double" if question else "")
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+    names = [key, item_key, "passage_run", "question_run", "question_share"]
+
+    def in_words(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([" ".join(words_of(form(t))) for t in b.column(1).to_pylist()], pa.string())], names=[key, "_text"])
 
-    def search(index: ItemIndex):
+    def search(docs: DataFrame, index: ItemIndex, words: Callable[[str], list[str]]) -> DataFrame:
         def run_(batches):
             for b in batches:
-                ids, found = [], []
+                out = []
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    for item in sorted(index.leaks(words_of(form(t)))):
-                        ids.append(i), found.append(item)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=[key, item_key])
+                    have = words(t)
+                    out += [(i, item, *(index.overlap(have, item) if question else ())) for item in sorted(index.leaks(have))]
+                columns = list(zip(*out)) or [()] * (5 if question else 2)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names[: len(columns)])
 
         return docs.mapInArrow(run_, schema)
 
-    out, portion, held = None, [], 0
+    indexes, portion, asks, held = [], [], {}, 0
     for r in rows.orderBy("item").toLocalIterator():
         portion.append((r.item, words_of(form(r.passage))))
+        asks[r.item] = words_of(form(r.question))
         held += len(portion[-1][1])
         if held >= MOST_INDEX_WORDS:
-            part = search(ItemIndex(portion, run))
-            out, portion, held = part if out is None else out.union(part), [], 0
-    if portion or out is None:
-        part = search(ItemIndex(portion, run))
-        out = part if out is None else out.union(part)
-    return out.distinct() if out is not None else out
+            indexes.append(ItemIndex(portion, run, asks))
+            portion, asks, held = [], {}, 0
+    if portion or not indexes:
+        indexes.append(ItemIndex(portion, run, asks))
+    if len(indexes) == 1:
+        found = search(docs, indexes[0], lambda t: words_of(form(t)))
+    else:
+        docs = cut(docs.mapInArrow(in_words, f"`{key}` long, _text string"))
+        found = reduce(DataFrame.union, [search(docs, x, str.split) for x in indexes])
+    return found.groupBy(key, item_key).agg(*[F.max(n).alias(n) for n in names[2:]]) if question else found.distinct()

@@ -81,6 +81,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage")
 
 
+def p7_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents and items with how much of passage and question they have in common."""
+    return leaks.leaks(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "golden_items"), "item_id", "passage", "question")
+
+
 def _limits(spark: SparkSession, sf_dir: str, purpose: str) -> list[tuple[int, int]]:
     rows = table(spark, sf_dir, "token_limits").filter((F.col("purpose") == purpose) & F.col("max_tokens").isNotNull())
     return sorted((r.max_tokens, r.overlap_tokens or 0) for r in rows.collect())  # a parameter table of five rows
@@ -103,7 +108,7 @@ def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_texts(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _limits(spark, sf_dir, "split"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p2_found, p2_neighbours, p3_found, p3_text, p4_found, p4_clean, p5_found, p5_groups, p6_pack, p6_fill, p7_found, p8_split)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p2_found, p2_neighbours, p3_found, p3_text, p4_found, p4_clean, p5_found, p5_groups, p6_pack, p6_fill, p7_found, p7_overlap, p8_split)}
 # The exact answer. The search is approximate; on one shard of this size it finds all neighbours.
 _NEAR = """ok AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[64] AS e FROM vectors WHERE len(embedding) = 64
   AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),

@@ -253,6 +253,17 @@ def test_leaks_equal_brute_force(spark, monkeypatch, portion):
     assert leaks.leaks(a.limit(0), "doc_id", "text", b, "item_id", "passage").count() == 0
 
 
+@pytest.mark.parametrize("portion", [10**6, 20])
+def test_overlap_of_question_and_passage(spark, monkeypatch, portion):
+    monkeypatch.setattr(leaks, "MOST_INDEX_WORDS", portion)
+    passage = [f"p{i}" for i in range(20)]
+    items = [(1, " ".join(passage), "who keeps the key of the gate"), (2, " ".join(passage[3:]), None), (3, "q " * 12, "never")]
+    docs = [(10, "The key of: the GATE and " + ", ".join(passage[2:17])), (11, " ".join(passage[:11])), (12, None), (13, " ".join(passage))]
+    a, b = spark.createDataFrame(docs, "d long, t string"), spark.createDataFrame(items, "i long, p string, q string")
+    got = {(r.d, r.i): (r.passage_run, r.question_run, r.question_share) for r in leaks.leaks(a, "d", "t", b, "i", "p", "q").collect()}
+    assert got == {(10, 1): (15, 5, round(4 / 6, 6)), (10, 2): (14, 0, None), (13, 1): (20, 0, 0.0), (13, 2): (17, 0, None)}
+
+
 def test_wand_finds_what_a_full_scan_finds():
     r = random.Random(3)
     vocabulary = [f"w{i}" for i in range(40)]

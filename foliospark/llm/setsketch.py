@@ -114,14 +114,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> D
     # A record with many partners is spread: its pairs over several places, its set to each of them.
     degree = pairs.select("tab", F.col("id_a").alias("id"), F.lit(1).alias("as_a"), F.lit(0).alias("as_b")).union(pairs.select("tab", "id_b", F.lit(0), F.lit(1)))
     wanted = degree.groupBy("tab", "id").agg(*[F.ceil(F.greatest(F.sum(c), F.lit(1)) / HOT).cast("int").alias(c) for c in ("as_a", "as_b")])
-    wanted = cut(wanted)
     full = texts.join(wanted, ["tab", "id"]).select("tab", "id", "text", "as_a", "as_b")
     full = cut(full.mapInArrow(sets, "tab string, id long, set array<long>, as_a int, as_b int"))
     out = pairs
     for side, other in (("a", "id_b"), ("b", "id_a")):
         places, key = f"as_{side}", f"id_{side}"
         hot = wanted.filter(F.col(places) > 1).select("tab", F.col("id").alias(key), places)
-        out = out.join(hot, ["tab", key], "left").withColumn("place", F.pmod(F.xxhash64(other), F.coalesce(places, F.lit(1))).cast("int")).drop(places)
+        out = out.join(hot.hint("merge"), ["tab", key], "left").withColumn("place", F.pmod(F.xxhash64(other), F.coalesce(places, F.lit(1))).cast("int")).drop(places)
         spread = full.select("tab", F.col("id").alias(key), F.col("set").alias(side), F.explode(F.sequence(F.lit(0), F.col(places) - 1)).alias("place"))
         out = out.join(spread.hint("merge"), ["tab", key, "place"]).drop("place")
     both = F.size(F.array_intersect("a", "b"))

@@ -127,6 +127,24 @@ def epub_metrics(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, metrics string, error string")
 
 
+def epub_facts(files: DataFrame) -> DataFrame:
+    """(path, place, fact, value) of all that was seen in each EPUB, for ``epub.measured``; a corrupt file has one row, the
+    fact ``error``."""
+    from . import epub
+
+    def run(batches):
+        for b in batches:
+            for path, data in zip(b.column(0).to_pylist(), b.column(1)):
+                try:
+                    rows = list(epub.facts(data.as_py()))
+                except Exception as e:  # a corrupt file is a finding
+                    rows = [epub.Fact("archive", "error", f"{type(e).__name__}: {e}")]
+                columns = [[path] * len(rows), *map(list, zip(*rows))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["path", "place", "fact", "value"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, place string, fact string, value string")
+
+
 def only_titles(candidates: DataFrame, title: str, names: list[str]) -> DataFrame:
     """The candidates of the named titles; a name that none has is an error."""
     if not names:
@@ -137,15 +155,30 @@ def only_titles(candidates: DataFrame, title: str, names: list[str]) -> DataFram
     return candidates.filter(F.col(title).isin(names))
 
 
+def mounted(root: str) -> str:
+    """The path of a folder that every machine has mounted; executors write single files there, so a URL of another
+    file system is refused rather than taken for a local name."""
+    if "://" in root and not root.startswith("file://"):
+        raise ValueError(f"single files are written to mounted folders only, not to {root}")
+    return root.removeprefix("file://")
+
+
 def write_assets(documents: DataFrame, root: str) -> None:
-    """Each document's assets as files in a folder of its own under a shared root, written by the executors. Names
-    lose their folders, and a file is replaced as a whole."""
+    """Each document's assets as files in a folder of its own under a shared, mounted root, written by the executors.
+    Names lose their folders, and a file is replaced as a whole. The folder is named like the file that the document
+    came from, as its links are; files that would share one are an error, and nothing is written."""
+    base = F.regexp_extract("path", r"([^/]*)$", 1)
+    folder = F.when(F.substring(base, 2, 1 << 20).contains("."), F.regexp_replace(base, r"\.[^.]*$", "")).otherwise(base)
+    shared = assets_of(documents).groupBy(folder.alias("folder")).agg(F.countDistinct("path").alias("n"), F.min("path").alias("one"), F.max("path").alias("other")).filter("n > 1").first()
+    if shared:
+        raise ValueError(f"{shared.one} and {shared.other} would share the asset folder {shared.folder}")
+    to_root = mounted(root)
 
     def save(part):
         from pathlib import Path
 
         for r in part:
-            to = Path(root.removeprefix("file://"), formats.stem(r.path), Path(r.name).name)
+            to = Path(to_root, formats.stem(r.path), Path(r.name).name)
             to.parent.mkdir(parents=True, exist_ok=True)
             tmp = to.with_name(to.name + ".tmp")
             tmp.write_bytes(r.content)

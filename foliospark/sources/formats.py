@@ -365,7 +365,8 @@ def read_epub(name: str, data: bytes, params: dict) -> Extracted:
 
     book = Package(data)
     parts = [html_to_markdown(book.files[d.href].decode("utf-8", "replace"), False) for d in book.spine if d.linear]
-    meta = {k: v for k, v in (("title", book.first("title")), ("creator", "; ".join(book.all("creator")) or None)) if v}
+    titles, creators = ([text for tag, text in book.described if tag == wanted] for wanted in ("title", "creator"))
+    meta = {k: v for k, v in (("title", titles[0] if titles else None), ("creator", "; ".join(creators))) if v}
     return Extracted("\n\n".join(p for p in parts if p), meta)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from ..functions import expressions as X
+from .files import mounted
 
 try:
     import yaml
@@ -88,9 +89,9 @@ def with_front_matter(content, metadata):
 
 
 def write_markdown(df: DataFrame, path: str, name: str, content: str, metadata: str) -> None:
-    """One ``.md`` file a row under a shared folder, written by the executors; parquet is better for anything large."""
+    """One ``.md`` file a row under a shared, mounted folder, written by the executors; parquet is better for anything large."""
     rows = df.select(F.col(name).alias("name"), with_front_matter(F.col(content), F.col(metadata)).alias("text"))
-    root = path.removeprefix("file://")
+    root = mounted(path)
 
     def save(part):
         from pathlib import Path

@@ -107,6 +107,26 @@ def test_epub():
     assert epub.audit(book(**{"META-INF__rights_DOT_xml": "<r/>"}))["drm"]
 
 
+def test_epub_facts_aggregate_to_the_same_measures(spark):
+    lock = '<e xmlns="http://www.w3.org/2001/04/xmlenc#"><EncryptedData><EncryptionMethod Algorithm="aes"/><CipherData><CipherReference URI="x"/></CipherData></EncryptedData></e>'
+    books = [("a", book()), ("b", book(**{"META-INF__encryption_DOT_xml": lock})), ("c", b"no zip")]
+    facts = files.epub_facts(spark.createDataFrame(books, "path string, content binary"))
+    assert facts.filter("path = 'c'").first().fact == "error"
+    got = {r.path: r.asDict() for r in epub.measured(facts.filter("path <> 'c'"), "path").collect()}
+    for path, data in books[:2]:
+        want = epub.audit(data)
+        assert {k: v for k, v in got[path].items() if k != "path"} == {k: want[k] for k in got[path] if k != "path"}
+
+
+def test_single_files_go_to_mounted_folders_and_never_share_one(spark, tmp_path):
+    kind = "path string, assets array<struct<name string, content binary>>"
+    two = spark.createDataFrame([("x/a.html", [("i.png", b"1")]), ("y/a.docx", [("i.png", b"2")])], kind)
+    with pytest.raises(ValueError, match="share"):
+        files.write_assets(two, str(tmp_path))
+    with pytest.raises(ValueError, match="mounted"):
+        files.write_assets(two.limit(1), "s3a://bucket/x")
+
+
 def test_files_are_found_routed_and_extracted(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name, data in {"a.HTML": HTML.encode(), "sub/w.docx": archive(DOCX), "sub/bad.docx": b"no zip", "n.txt": "plain é".encode(), "skip.xyz": b"", "b.epub": book()}.items():

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import formats
+from . import formats, pdf  # noqa: F401 - pdf registers its readers
 
 ASSET = pa.struct([("name", pa.string()), ("content", pa.binary())])
 DOCUMENT = "path string, source_file string, reader string, content string, metadata map<string,string>, pipeline_phases array<string>, error string, assets array<struct<name:string,content:binary>>"
@@ -27,7 +27,7 @@ class Rule:
 
 # Extensions that each reader is for.
 DEFAULT_RULES = [Rule(e, r) for r, es in {
-    "html": "html htm xhtml", "docx": "docx", "xlsx": "xlsx", "pptx": "pptx", "odf": "odt ods odp", "epub": "epub", "zip": "zip",
+    "html": "html htm xhtml", "docx": "docx", "xlsx": "xlsx", "pptx": "pptx", "odf": "odt ods odp", "epub": "epub", "pdf": "pdf", "zip": "zip",
     "image": "png jpg jpeg gif webp bmp tiff", "text": "txt md csv tsv json",
 }.items() for e in es.split()]
 

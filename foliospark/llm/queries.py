@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, table, texts
 from . import leaks, lookalike, packing, scans, site_lines, splitting
 from .hnsw import neighbours, similar_pairs
+from .oracle import sql  # noqa: F401 - the SQL of these queries
 from .setsketch import NearDuplicates
 
 SIMILAR = 0.7
@@ -108,13 +109,32 @@ def p8_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_texts(texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _limits(spark, sf_dir, "split"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p2_found, p2_neighbours, p3_found, p3_text, p4_found, p4_clean, p5_found, p5_groups, p6_pack, p6_fill, p7_found, p7_overlap, p8_split)}
-# The exact answer. The search is approximate; on one shard of this size it finds all neighbours.
-_NEAR = """ok AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[64] AS e FROM vectors WHERE len(embedding) = 64
-  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-near AS MATERIALIZED (SELECT a.vec_id, b.vec_id AS neighbour, round(array_cosine_similarity(a.e, b.e), 6) AS similarity, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(array_cosine_similarity(a.e, b.e), 6) DESC, b.vec_id) AS rank
-  FROM ok a JOIN ok b ON a.vec_id <> b.vec_id QUALIFY rank <= 5)"""
-SQL: dict[str, str] = {
-    "p2_found": f"WITH {_NEAR} SELECT DISTINCT least(vec_id, neighbour) AS vec_a, greatest(vec_id, neighbour) AS vec_b FROM near WHERE similarity >= 0.8",
-    "p2_neighbours": f"WITH {_NEAR} SELECT vec_id, neighbour, rank::INT AS rank, similarity FROM near",
-}
+def p6_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each capacity how many documents have a place, containers that hold too much, and texts of which the parts
+    don't follow one another from the first token on."""
+    parts = cut(p6_pack(spark, sf_dir))
+    boxes = parts.filter("container is not null").groupBy("max_tokens", "container").agg(F.sum("tokens").alias("held"))
+    overfull = boxes.groupBy("max_tokens").agg(F.count_if(F.col("held") > F.col("max_tokens")).alias("overfull"))
+    order = Window.partitionBy("max_tokens", "doc_id").orderBy("part")
+    due = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    texts_ = parts.withColumn("wrong", (F.col("first_token") != due) | (F.col("part") != F.row_number().over(order) - 1))
+    each = texts_.groupBy("max_tokens").agg(F.countDistinct("doc_id").alias("documents"), F.count_if("wrong").alias("broken"))
+    return each.join(overfull, "max_tokens", "left").select("max_tokens", "documents", F.coalesce("overfull", F.lit(0)).alias("overfull"), "broken")
+
+
+def p8_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each limit the pieces that exceed it, that don't hold the bytes they should, counting on from the piece before,
+    or that lack their overlap, which is the whole piece before if that is shorter; of all pieces."""
+    limits = spark.createDataFrame(_limits(spark, sf_dir, "split"), "max_tokens int, asked int").groupBy("max_tokens").agg(F.max("asked").alias("asked"))
+    pieces = p8_split(spark, sf_dir).withColumn("own", F.octet_length("text"))
+    order = Window.partitionBy("max_tokens", "doc_id").orderBy("piece")
+    before = F.lag("end_byte").over(order)
+    pieces = pieces.withColumn("gap", F.when(before.isNull(), F.col("first_byte") != 0).otherwise(F.col("first_byte") > before)).join(limits, "max_tokens")
+    wrong = F.col("gap") | (F.col("own") != F.col("end_byte") - F.col("first_byte"))
+    short = (F.col("piece") > 0) & (F.col("overlap_tokens") < F.least("asked", F.lag("tokens").over(order)))
+    pieces = pieces.withColumns({"wrong": wrong, "short": short})
+    out = pieces.groupBy("max_tokens").agg(F.count_if(F.col("tokens") > F.col("max_tokens")).alias("over_limit"), F.count_if("wrong").alias("wrong_bytes"), F.count_if("short").alias("without_overlap"))
+    return limits.select("max_tokens").join(out, "max_tokens", "left").na.fill(0)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p1_form, p2_found, p2_neighbours, p3_found, p3_text, p4_found, p4_clean, p5_found, p5_groups, p6_pack, p6_fill, p6_cover, p7_found, p7_overlap, p8_split, p8_cover)}

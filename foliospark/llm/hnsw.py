@@ -28,7 +28,7 @@ M = 10  # links that a row makes when it is inserted; the lowest layer keeps twi
 EF_BUILD, EF_SEARCH = 24, 16
 TOP = 1024  # rows of the highest layer, at most; a search begins with all of them
 GROUP = 64  # queries that walk together
-INSERT = 2048  # rows that are inserted together
+INSERT = 4096  # rows that are inserted together
 SHARD, SHARDS, LARGEST = 16_384, 32, 1_000_000  # rows of a shard are a table's by SHARDS, but within these bounds
 GAP = 0.2  # a shard is asked if its centroid's cosine is at most that below the nearest centroid's; see also _fewest
 SAMPLE = 20_000  # vectors that the centroids are fitted on, or eight for each centroid if that is more

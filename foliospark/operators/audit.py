@@ -88,6 +88,26 @@ def merge_preserving(old: DataFrame, new: DataFrame, key: str, keep: str) -> Dat
     ).select(old.columns)
 
 
+def first_of(candidates: DataFrame, title: str, name: str, extension: str, *order: str) -> DataFrame:
+    """(title, name) of the first file with an extension, letter case aside, among the files of each title that has
+    one, by ``order`` and then by name."""
+    return candidates.filter(F.lower(name).endswith("." + extension.lower())).groupBy(title).agg(F.min_by(name, F.struct(*order, name)).alias(name))
+
+
+def md5_agrees(named: Column, content: Column) -> Column:
+    """Whether a file's content has the MD5 that its name gives; null if the name gives none."""
+    return F.when(named.isNotNull(), F.lower(named) == F.md5(content))
+
+
+def manifest_yaml(rows: DataFrame, title: str, head: tuple[str, str] = ("Files of each title and which of them to use.", "Choices made by hand are kept.")) -> str:
+    """A manifest of few titles as YAML: two lines of remarks, then a mapping from each title to its other columns,
+    titles in order and columns as they come. Its size is that of the list of titles, which the driver holds."""
+    import yaml
+
+    listed = {r[title]: {k: v for k, v in r.asDict(recursive=True).items() if k != title} for r in rows.orderBy(title).toLocalIterator()}
+    return "".join(f"# {h}\n" for h in head) + yaml.safe_dump(listed, sort_keys=False, allow_unicode=True, width=120)
+
+
 def sampled(pages: DataFrame, doc: str, index: str, sample: int = PAGE_SAMPLE) -> DataFrame:
     """``pages`` with ``page_count`` and only an evenly spaced sample of each document's pages: all of up to ``sample``,
     else those at floor(k n / sample)."""

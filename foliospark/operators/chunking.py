@@ -117,6 +117,18 @@ def split_markdown(df: DataFrame, key: str, text: str, size: int = SIZE, overlap
     return df.select(key, F.col(text).alias("_t")).mapInArrow(run, f"`{key}` {kind}, split int, text string, h1 string, h2 string, h3 string")
 
 
+def split_fixed(df: DataFrame, key: str, text: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
+    """(key, split, text): each text in windows of ``size`` characters, each but the first beginning ``overlap`` characters
+    before the end of the one before. Windows are stripped; blank ones are left out, and the rest numbered from 0. Null
+    and empty texts have none."""
+    step = size - overlap
+    if step < 1:
+        raise ValueError("the overlap must be less than the size")
+    n = F.when(F.length(text) <= size, 1).otherwise(1 + F.ceil((F.length(text) - size) / step)).cast("int")
+    windows = F.transform(F.sequence(F.lit(0), n - 1), lambda i: X.strip(F.substring(F.col(text), i * step + 1, F.lit(size))))
+    return df.filter(F.col(text) != "").select(key, F.posexplode(F.filter(windows, lambda w: w != "")).alias("split", "text"))
+
+
 def number_chunks(splits: DataFrame, key: str, page: Column | None = None) -> DataFrame:
     """(key, chunk_index, page_number, section, text) from splits (key, split, text, h1, h2, h3).
 

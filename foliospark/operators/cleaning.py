@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
 import warnings
 from dataclasses import dataclass, field
 
@@ -103,6 +105,44 @@ def sample(text: Column, whole: int = 15_000, part: int = 3_000) -> Column:
     return F.when(n < whole, text).otherwise(F.concat(F.substring(text, 1, part), F.lit(MIDDLE), middle, F.lit(END), F.substring(text, -part, part)))
 
 
+RULE = "struct<pattern:string,description:string,confidence:int>"
+
+
+def answered_rules(answer: Column) -> Column:
+    """ARRAY of (pattern, description, confidence) in a model's answer: JSON, with or without a fence around it; the first
+    list of an object, or the object itself as the only rule. Null where the answer holds no such JSON; entries without a
+    pattern are left out."""
+    bare = F.regexp_replace(F.regexp_replace(X.strip(answer), r"\A```(?:json)?\s*", ""), r"\s*```\z", "")
+
+    def rules(found: object) -> list[dict] | None:
+        if isinstance(found, dict):
+            found = next((v for v in found.values() if isinstance(v, list)), [found])
+        if not isinstance(found, list):
+            return None
+        number = lambda x: int(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else None
+        return [{"pattern": r["pattern"], "description": str(r.get("description") or ""), "confidence": number(r.get("confidence"))} for r in found if isinstance(r, dict) and isinstance(r.get("pattern"), str)]
+
+    @F.arrow_udf(f"array<{RULE}>")
+    def parse(answers: pa.Array) -> pa.Array:
+        out: list = []
+        for a in answers.to_pylist():
+            try:
+                out.append(rules(json.loads(a)) if a else None)
+            except ValueError:
+                out.append(None)
+        return pa.array(out, pa.list_(pa.struct([("pattern", pa.string()), ("description", pa.string()), ("confidence", pa.int32())])))
+
+    return parse(bare)
+
+
+def propose_rules(df: DataFrame, key: str, text: str, ask: Callable[[str], str]) -> DataFrame:
+    """(key, pattern, description, confidence) of the rules that a model proposes for each text, of which it is shown the
+    sample. ``ask`` maps a text to an answer and runs in the executors; texts that are null or empty aren't asked about."""
+    answers = F.arrow_udf(lambda texts: pa.array([ask(t) for t in texts.to_pylist()], pa.string()), StringType())
+    asked = df.filter(F.col(text) != "").select(key, answers(sample(F.col(text))).alias("_a"))
+    return asked.select(key, F.explode(answered_rules(F.col("_a"))).alias("r")).select(key, "r.*")
+
+
 def apply_rules(df: DataFrame, key: str, text: str, rules: list[dict], most_removed: float = MOST_REMOVED, least_confidence: int = LEAST_CONFIDENCE) -> DataFrame:
     """(key, text, held): the text after all rules that are safe, and why the others are held for review.
 

@@ -148,6 +148,18 @@ class Families:
         return salted_join(self.members, of, ["rep"], F.col(self.key)).select(self.key, "family_id")
 
 
+def exact_similarity(pairs: DataFrame, texts: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
+    """``pairs(rep_a, rep_b)`` with ``jaccard``: the share of their texts' runs of ``k`` words that both have, exactly, in
+    six decimals. A null text has no runs; two texts without runs have 0."""
+    sets = texts.select(F.col(key), F.array_distinct(F.coalesce(X.shingles(F.col(text), k), F.array().cast("array<string>"))).alias("_s"))
+    wanted = pairs.select(F.col("rep_a").alias(key)).union(pairs.select("rep_b")).distinct()
+    sets = sets.join(wanted, key, "left_semi")
+    out = salted_join(pairs.select("rep_a", "rep_b"), sets.select(F.col(key).alias("rep_a"), F.col("_s").alias("_a")), ["rep_a"], F.col("rep_b"), 4)
+    out = salted_join(out, sets.select(F.col(key).alias("rep_b"), F.col("_s").alias("_b")), ["rep_b"], F.col("rep_a"), 4)
+    both = F.size(F.array_intersect("_a", "_b"))
+    return out.select("rep_a", "rep_b", F.round(F.coalesce(F.try_divide(both, F.size("_a") + F.size("_b") - both), F.lit(0.0)), 6).alias("jaccard"))
+
+
 def canonical(families: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
     """(family_id, canonical, members): the longest text's row; of equal lengths, the one with the largest key. A null
     text has length 0."""

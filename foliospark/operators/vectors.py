@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..session import cut
 
 TOP_K = 5
 QUERY_BLOCK_FLOATS = 8_000_000  # numbers of queries held by a task at once, 64 MB
@@ -87,21 +89,16 @@ def search(vectors: DataFrame, key: str, embedding: str, queries: DataFrame, que
 
         return rows.mapInArrow(run, "q long, v long, score double")
 
-    out, ids, vec = None, [], []
-
-    def flush():
-        nonlocal out, ids, vec
-        if ids or out is None:
-            q = unit(np.array(vec, float)) if vec else np.zeros((0, width))
-            block = part(np.array(ids, np.int64), q)
-            out = block if out is None else out.union(block)
-            ids, vec = [], []
-
+    done: list[DataFrame] = []
+    ids: list[int] = []
+    vec: list[list[float]] = []
     for r in asked.orderBy("q").toLocalIterator():
+        if len(ids) >= step:  # the results of all blocks but the last are written, so the driver holds one block
+            done.append(cut(part(np.array(ids, np.int64), unit(np.array(vec, float)))))
+            ids, vec = [], []
         ids.append(r.q), vec.append(r.e)
-        if len(ids) >= step:
-            flush()
-    flush()
+    last = part(np.array(ids, np.int64), unit(np.array(vec, float)) if vec else np.zeros((0, width)))
+    out = reduce(DataFrame.union, [*done, last])
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "v"))
     ranked = out.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.select(F.col("q").alias(query_key), "rank", F.col("v").alias(key), "score")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import chunking, exact, retrieval, vectors
+from ..session import cut
 from ..sources import files
 from ..streaming.ingest import clean_phase
 
@@ -88,12 +89,16 @@ def index(documents: DataFrame, config: Config, embedder: Embedder, summarise: C
     return embed(rows, "text", embedder).withColumn("vector_id", id_)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows as a table with a number of their own, which stays the same because it is written."""
+    return cut(rows.withColumn("_n", F.monotonically_increasing_id()))
+
+
 def add_to_store(store: DataFrame, new: DataFrame, config: Config, replace_files: bool = True) -> DataFrame:
     """The store with new rows in, by identity; with a near-copy threshold, chunks whose nearest stored vector is
     another file's near copy are left out first. New chunks are only compared with what is stored."""
     if config.retrieval.near_copy_threshold is not None:
-        key = lambda d: d.withColumn("_n", F.xxhash64("vector_id"))
-        old, fresh = key(store), key(new)
+        old, fresh = _numbered(store), _numbered(new)
         near = vectors.search(old, "_n", "embedding", fresh.select(F.col("_n").alias("q"), "embedding"), "q", "embedding", 1, config.retrieval.width)
         copies = vectors.near_copies(near, old, fresh.select(F.col("_n").alias("q"), "filename"), "_n", "q", "filename", config.retrieval.near_copy_threshold)
         new = fresh.join(copies.withColumnRenamed("q", "_n"), "_n", "left_anti").drop("_n")
@@ -104,7 +109,7 @@ def retrieve(store: DataFrame, questions: DataFrame, embedder: Embedder, config:
     """(question_id, question, rank, score, filename, page_number, section, level, text) of the best rows of the store
     for each question of ``questions(question_id, question)``."""
     asked = embed(questions, "question", embedder, "_e")
-    keyed = store.withColumn("_n", F.xxhash64("vector_id"))
+    keyed = _numbered(store)
     found = vectors.search(keyed, "_n", "embedding", asked, "question_id", "_e", config.retrieval.top_k, config.retrieval.width)
     rows = found.join(keyed.select("_n", "filename", "page_number", "section", "level", "text"), "_n").drop("_n")
     return rows.join(questions, "question_id").select("question_id", "question", "rank", "score", "filename", "page_number", "section", "level", "text")

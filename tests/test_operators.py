@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.operators import audit, chunking, cleaning, exact, images, retrieval, vectors
+from foliospark.operators import audit, chunking, cleaning, exact, families, images, retrieval, vectors
 
 
 def one(df):
@@ -229,3 +229,47 @@ def test_latest_prefers_known_times(spark):
     d = spark.createDataFrame([("a", 1, t), ("a", 2, None), ("b", 3, None), ("b", 4, None), (None, 5, t)], "id string, n int, at timestamp")
     got = vectors.latest(d, "id", F.col("at").isNotNull(), F.col("at"), F.col("n"))
     assert {r.id: r.n for r in got.collect()} == {"a": 1, "b": 4}
+
+
+def test_rules_in_answers(spark):
+    answers = ['```json\n[{"pattern": "a", "confidence": 90.0}, {"description": "no pattern"}, 3]\n```', '{"x": 1, "rules": [{"pattern": "b", "description": "d"}]}', '{"pattern": "c", "confidence": true}', "no json", "", None, "3", '```\n{"pattern": "e"}\n```  ']
+    got = spark.createDataFrame(list(enumerate(answers)), "n int, a string").select("n", cleaning.answered_rules(F.col("a")).alias("r")).orderBy("n").collect()
+    plain = [None if r.r is None else [tuple(x) for x in r.r] for r in got]
+    assert plain == [[("a", "", 90)], [("b", "d", None)], [("c", "", None)], None, None, None, None, [("e", "", None)]]
+    d = spark.createDataFrame([(1, "text"), (2, None), (3, "")], "k int, t string")
+    assert [tuple(r) for r in cleaning.propose_rules(d, "k", "t", lambda t: '[{"pattern": "x%d"}]' % len(t)).collect()] == [(1, "x4", "", None)]
+
+
+def test_fixed_windows_equal_pieces_without_separators(spark):
+    texts = ["", None, "short", "x" * 1000, "y" * 1001, "a b " * 700, "z" * 1800, " " * 3000, "w" * 1801]
+    d = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {}
+    for r in chunking.split_fixed(d, "k", "t").orderBy("k", "split").collect():
+        got.setdefault(r.k, []).append(r.text)
+    assert got == {k: p for k, t in enumerate(texts) if t and (p := chunking.pieces(t, 1000, 200, ("",)))}
+
+
+def test_first_of_md5_and_manifest(spark):
+    d = spark.createDataFrame([("t", "b.PDF", 2), ("t", "a.pdf", 2), ("t", "c.epub", 1), ("u", "x.txt", 1), ("v", None, 1)], "title string, name string, at int")
+    assert [tuple(r) for r in audit.first_of(d, "title", "name", "pdf", "at").collect()] == [("t", "a.pdf")]
+    m = spark.createDataFrame([(None, "x"), ("9DD4E461268C8034F5C8564E155C67A6", "x"), ("0" * 32, "x"), ("0" * 32, None)], "m string, c string")
+    assert [r[0] for r in m.select(audit.md5_agrees(F.col("m"), F.col("c"))).collect()] == [None, True, False, None]
+    rows = spark.createDataFrame([("Ö", ["a"], 1), ("A", None, 2)], "title string, files array<string>, n int")
+    assert audit.manifest_yaml(rows, "title").split("\n", 2)[2] == "A:\n  files: null\n  n: 2\nÖ:\n  files:\n  - a\n  n: 1\n"
+
+
+def test_exact_similarity_of_pairs(spark):
+    d = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g"), (3, None), (4, ""), (5, "a b c d e f")], "k long, t string")
+    pairs = spark.createDataFrame([(1, 2), (1, 5), (3, 4), (1, 3)], "rep_a long, rep_b long")
+    got = {(r.rep_a, r.rep_b): r.jaccard for r in families.exact_similarity(pairs, d, "k", "t").collect()}
+    assert got == {(1, 2): 0.333333, (1, 5): 1.0, (3, 4): 0.0, (1, 3): 0.0}
+
+
+def test_search_in_several_blocks_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "QUERY_BLOCK_FLOATS", 64 * 3)
+    rows = [(i, [float((i * j) % 7 + 1) for j in range(64)]) for i in range(20)]
+    d = spark.createDataFrame(rows, "v long, e array<float>")
+    q = d.withColumnRenamed("v", "q")
+    many = sorted(map(tuple, vectors.search(d, "v", "e", q, "q", "e", 2).collect()))
+    monkeypatch.setattr(vectors, "QUERY_BLOCK_FLOATS", 10**6)
+    assert many == sorted(map(tuple, vectors.search(d, "v", "e", q, "q", "e", 2).collect())) and len(many) == 40

@@ -30,6 +30,7 @@ class FamilySettings:
 
 @dataclass(frozen=True)
 class ChunkSettings:
+    kind: str = "markdown"  # a name among the registered chunkers
     size: int = 1000
     overlap: int = 200
 

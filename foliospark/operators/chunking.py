@@ -149,3 +149,9 @@ def number_chunks(splits: DataFrame, key: str, page: Column | None = None) -> Da
 def chunk_markdown(df: DataFrame, key: str, text: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
     """Chunks of each text; see ``split_markdown`` and ``number_chunks``. Windows hold one document's splits."""
     return number_chunks(split_markdown(df, key, text, size, overlap), key)
+
+
+def chunk_fixed(df: DataFrame, key: str, text: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
+    """Chunks of fixed windows, numbered as those of ``chunk_markdown``; they have no section."""
+    none = F.lit(None).cast("string")
+    return number_chunks(split_fixed(df, key, text, size, overlap).select(key, "split", "text", none.alias("h1"), none.alias("h2"), none.alias("h3")), key)

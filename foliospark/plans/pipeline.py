@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import chunking, exact, retrieval, vectors
+from ..operators import exact, retrieval, vectors
+from ..registry import PARTS, lookup
 from ..session import cut
 from ..sources import files
 from ..streaming.ingest import clean_phase
@@ -41,6 +43,9 @@ def hash_embedder(width: int = 64) -> Embedder:
     return embed
 
 
+PARTS["embedders"]["hash"] = hash_embedder
+
+
 def embed(df: DataFrame, text: str, embedder: Embedder, out: str = "embedding", at_once: int = 256) -> DataFrame:
     """Adds the embedding of a column, ``at_once`` texts a call; null and empty texts have none. An error of the
     embedder fails the task, which Spark tries again."""
@@ -75,7 +80,7 @@ def ingest(spark: SparkSession, config: Config, done: DataFrame | None = None) -
 def index(documents: DataFrame, config: Config, embedder: Embedder, summarise: Callable[[str], str] | None = None) -> DataFrame:
     """(vector_id, filename, level, section, chunk_index, page_number, text, embedding) of all chunks and, with a
     summariser, of a summary of each document (index -1) and section (index -2)."""
-    c = chunking.chunk_markdown(documents, "source_file", "content", config.chunks.size, config.chunks.overlap)
+    c = lookup("chunkers", config.chunks.kind)(documents, "source_file", "content", config.chunks.size, config.chunks.overlap)
     rows = c.select(F.col("source_file").alias("filename"), F.lit(CHUNK).alias("level"), "section", "chunk_index", "page_number", "text")
     if summarise is not None:
         from pyspark.sql.types import StringType
@@ -115,10 +120,17 @@ def retrieve(store: DataFrame, questions: DataFrame, embedder: Embedder, config:
     return rows.join(questions, "question_id").select("question_id", "question", "rank", "score", "filename", "page_number", "section", "level", "text")
 
 
-def answer(results: DataFrame, questions: DataFrame, generate: Callable[[str, str], Iterator[str]]) -> Iterator[tuple[int, str]]:
-    """(question_id, answer) of each question, one after the other as they stream to the driver; a question without
-    results gets a fixed answer, and the generator isn't called."""
+def answer_pieces(results: DataFrame, questions: DataFrame, generate: Callable[[str, str], Iterator[str]]) -> Iterator[tuple[int, str]]:
+    """(question_id, piece) as the generator gives its pieces, one question after the other; a question without results
+    gets a fixed answer as one piece, and the generator isn't called."""
     described = results.withColumn("description", retrieval.describe_source(F.col("filename"), F.col("page_number"), F.col("section"), F.col("level")))
     built = retrieval.prompts(described, ["question_id"], "question", "rank", "text", "description")
     for r in questions.select("question_id").join(built, "question_id", "left").orderBy("question_id").toLocalIterator():
-        yield r.question_id, "".join(generate(retrieval.INSTRUCTIONS, r.prompt)) if r.prompt else retrieval.NO_SOURCES
+        for piece in generate(retrieval.INSTRUCTIONS, r.prompt) if r.prompt else [retrieval.NO_SOURCES]:
+            yield r.question_id, piece
+
+
+def answer(results: DataFrame, questions: DataFrame, generate: Callable[[str, str], Iterator[str]]) -> Iterator[tuple[int, str]]:
+    """(question_id, answer) of each question, its pieces put together."""
+    for question, pieces in groupby(answer_pieces(results, questions, generate), key=lambda p: p[0]):
+        yield question, "".join(text for _, text in pieces)

@@ -87,7 +87,14 @@ def epub_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(_id(), "spine_documents", "linear_documents_with_text", "documents_with_headings", "text_chars", "toc_entries", "toc_depth", "drm", "maths_mode")
 
 
-QUERIES = {f.__name__: f for f in (extract_files, html_headings, pdf_text_pages, pdf_audit, pdf_outlines, epub_measures)}
+def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which files can be measured: a file of each document, of which every seventh is cut short."""
+    made = _files(spark, sf_dir)
+    content = F.when(_id() % 7 == 0, F.substring("content", 1, 8)).otherwise(F.col("content"))
+    return files.audited(made.select("path", content.alias("content"))).select(_id(), "format", "supported", F.get_json_object("metrics", "$.title").alias("title"), F.col("error").isNotNull().alias("failed"))
+
+
+QUERIES = {f.__name__: f for f in (extract_files, html_headings, pdf_text_pages, pdf_audit, pdf_outlines, epub_measures, file_audit)}
 
 _BLANKS = r"[\s\x00-\x1f\x7f\x85\p{Z}￾￿]+"
 _LINES = rf"""d AS MATERIALIZED (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(x, '{_BLANKS}', ' ', 'g'))), lambda x: x <> '') AS l FROM documents)"""
@@ -112,6 +119,8 @@ SQL = {
       SELECT made || ':' || doc_id AS doc, 2::INT AS pages, round_even(a, 0)::BIGINT AS avg_chars_per_page, a >= 100 AS has_text_layer, CASE WHEN made = 'scan' THEN low / 2 ELSE 0 END::DOUBLE AS image_only_page_share, (made = 'scan')::INT::DOUBLE AS full_page_image_share,
       (made = 'latex')::INT::DOUBLE AS latex_font_page_share, (made = 'latex')::INT::DOUBLE AS math_font_page_share, made = 'latex' AS page_labels,
       CASE made WHEN 'latex' THEN 'typeset' WHEN 'plain' THEN 'converted' ELSE CASE WHEN round_even(a, 0) >= 100 THEN 'scan_ocr' ELSE 'scan_image_only' END END AS origin FROM m, k""",
+    "file_audit": f"""SELECT doc_id, CASE {" ".join(f"WHEN {_kind(k)} THEN '{k}'" for k in KINDS)} END AS format, {_kind("pdf", "epub")} AND doc_id % 7 <> 0 AS supported,
+      CASE WHEN doc_id % 7 = 0 THEN NULL WHEN {_kind("epub")} THEN 'Book' WHEN {_kind("pdf")} THEN 'Büch' END AS title, {_kind("pdf", "epub")} AND doc_id % 7 = 0 AS failed FROM documents""",
     "pdf_outlines": "SELECT doc_id, 2::BIGINT AS toc_entries, 1::INT AS toc_depth FROM documents",
     "epub_measures": f"""WITH {_LINES} SELECT doc_id, 1::BIGINT AS spine_documents, (len(l) > 0)::BIGINT AS linear_documents_with_text, 0::BIGINT AS documents_with_headings, length(array_to_string(l, ' '))::BIGINT AS text_chars,
       len(l)::BIGINT AS toc_entries, 1::INT AS toc_depth, false AS drm, 'none_detected' AS maths_mode FROM d""",

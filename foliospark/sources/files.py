@@ -145,6 +145,31 @@ def epub_facts(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, "path string, place string, fact string, value string")
 
 
+def audited(files: DataFrame) -> DataFrame:
+    """(path, format, supported, metrics JSON, error) of each file. Formats without an auditor aren't supported, nor is a
+    file that its auditor fails on, which has the error."""
+    from ..registry import PARTS
+
+    auditors = dict(PARTS["auditors"])
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for path, data in zip(b.column(0).to_pylist(), b.column(1)):
+                kind = path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
+                row = {"path": path, "format": kind, "supported": False, "metrics": None, "error": None}
+                if kind in auditors:
+                    try:
+                        row |= {"metrics": json.dumps(auditors[kind](data.as_py()), ensure_ascii=False), "supported": True}
+                    except Exception as e:  # a corrupt file is a finding
+                        row["error"] = f"{type(e).__name__}: {e}"
+                rows.append(row)
+            text = [("path", pa.string()), ("format", pa.string()), ("supported", pa.bool_()), ("metrics", pa.string()), ("error", pa.string())]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(text))
+
+    return files.select("path", "content").mapInArrow(run, "path string, format string, supported boolean, metrics string, error string")
+
+
 def only_titles(candidates: DataFrame, title: str, names: list[str]) -> DataFrame:
     """The candidates of the named titles; a name that none has is an error."""
     if not names:

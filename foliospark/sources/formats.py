@@ -84,6 +84,7 @@ def pipe_table(rows: list[list[str]]) -> list[str]:
 class _Markdown(HTMLParser):
     """HTML events to Markdown: ATX headings, ``-`` bullets, pipe tables; noise subtrees are skipped."""
 
+    # Tags whose content is no text of the page.
     NOISE = {"nav", "footer", "aside", "script", "style", "noscript", "iframe", "header"}
     ALWAYS = {"script", "style", "head", "title", "template"}
     VOID = {"br", "hr", "img", "input", "meta", "link", "col", "area", "base", "embed", "source", "track", "wbr"}

@@ -430,6 +430,14 @@ def read_pdf(name: str, data: bytes, params: dict) -> Extracted:
     return Extracted(got.content, {**got.metadata, "route": params["ocr_reader"], **chosen}, got.assets)
 
 
+def audit(data: bytes) -> dict:
+    """What one file tells at once: pages, text of the first ones, metadata and the outline; raises where it is no PDF."""
+    file = Pdf(data)
+    found = list(pages(file))
+    outline = file.outline()
+    return {"pages": len(found), "avg_chars_per_page": round(density(found), 1), "has_text_layer": density(found) >= CHARS_PER_PAGE, "producer": file.info.get("Producer"), "title": file.info.get("Title"), "toc_entries": len(outline), "toc_depth": max((n for n, _ in outline), default=0), "page_labels": any(p.label for p in found)}
+
+
 PAGES = "path string, i int, text string, width double, height double, fonts array<string>, images array<struct<x0:double,y0:double,x1:double,y1:double>>, label string, producer string, error string"
 
 

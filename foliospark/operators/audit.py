@@ -111,10 +111,11 @@ def manifest_yaml(rows: DataFrame, title: str, head: tuple[str, str] = ("Files o
 def sampled(pages: DataFrame, doc: str, index: str, sample: int = PAGE_SAMPLE) -> DataFrame:
     """``pages`` with ``page_count`` and only an evenly spaced sample of each document's pages: all of up to ``sample``,
     else those at floor(k n / sample)."""
-    counts = pages.groupBy(doc).agg((F.max(index) + 1).alias("page_count"))
+    # A window, not a join with the counts: what follows groups by document too, so all of it takes one shuffle.
+    pages = pages.withColumn("page_count", F.max(index).over(Window.partitionBy(doc)) + 1)
     k = F.ceil(F.col(index) * sample / F.col("page_count"))
     chosen = (F.col("page_count") <= sample) | ((F.floor(k * F.col("page_count") / sample) == F.col(index)) & (k < sample))
-    return pages.join(counts, doc).filter(chosen)
+    return pages.filter(chosen)
 
 
 def _lines(text: Column) -> Column:

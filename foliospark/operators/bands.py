@@ -68,7 +68,7 @@ def _group_edges(t: pa.Table) -> np.ndarray:
     return np.concatenate([[0], change, [t.num_rows]])
 
 
-def _compared(t: pa.Table, edges: list[int], dtype: np.dtype, test: Test):
+def _compared(t: pa.Table, edges: list[int], dtype: np.dtype, test: Test, score: Test):
     n, m = t.num_rows, edges[-1]
     bucket = t.column("bucket").to_numpy()
     rows = np.frombuffer(b"".join(t.column("signature").to_pylist()), dtype).reshape(n, m)
@@ -83,13 +83,19 @@ def _compared(t: pa.Table, edges: list[int], dtype: np.dtype, test: Test):
         here = np.array(keys, np.int64) == bucket[a]
         a, b = a[here], b[here]
         if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(tabs[a], pa.string()), pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], names=["tab", "id_a", "id_b"])
+            value = pa.array(score(rows[a], rows[b]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(tabs[a], pa.string()), pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b])), value], names=["tab", "id_a", "id_b", "score"])
 
 
-def banded_pairs(reps: DataFrame, edges: list[int], dtype: str, test: Test) -> DataFrame:
-    """(tab, id_a, id_b) of the pairs of ``reps(tab, id, signature)`` that share a band and pass ``test``.
+def equal_places(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a == b).sum(1)
 
-    ``test`` gets the signatures of both sides as two matrices and returns which pairs pass. Ids are unique within a
+
+def banded_pairs(reps: DataFrame, edges: list[int], dtype: str, test: Test, score: Test = equal_places) -> DataFrame:
+    """(tab, id_a, id_b, score) of the pairs of ``reps(tab, id, signature)`` that share a band and pass ``test``.
+
+    ``test`` gets the signatures of both sides as two matrices and returns which pairs pass, ``score`` a whole number for
+    each pair that did, so that no signature has to be fetched again. Ids are unique within a
     ``tab``, and only records of one ``tab`` are compared. Each pair comes out once.
     """
     kind = np.dtype(dtype)
@@ -115,8 +121,8 @@ def banded_pairs(reps: DataFrame, edges: list[int], dtype: str, test: Test) -> D
                 rest = t
                 continue
             rest = t.slice(int(ends[-2]))
-            yield from _compared(t.slice(0, int(ends[-2])).combine_chunks(), edges, kind, test)
+            yield from _compared(t.slice(0, int(ends[-2])).combine_chunks(), edges, kind, test, score)
         if rest is not None and rest.num_rows:
-            yield from _compared(rest.combine_chunks(), edges, kind, test)
+            yield from _compared(rest.combine_chunks(), edges, kind, test, score)
 
-    return shared.mapInArrow(run, "tab string, id_a long, id_b long")
+    return shared.mapInArrow(run, "tab string, id_a long, id_b long, score int")

@@ -128,9 +128,7 @@ class Families:
         reps = self.classes.select(F.lit("").alias("tab"), F.col("rep").alias("id"), "signature")
         edges = np.linspace(0, n, n - need + 2).astype(int).tolist()
         pairs = banded_pairs(reps, edges, "uint32", lambda a, b: (a == b).sum(1) >= need)
-        sig = signed.select(F.col(key).alias("id"), "signature")
-        pairs = pairs.join(sig.select(F.col("id").alias("id_a"), F.col("signature").alias("sa")), "id_a").join(sig.select(F.col("id").alias("id_b"), F.col("signature").alias("sb")), "id_b")
-        self.links = cut(pairs.select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b"), matches(F.col("sa"), F.col("sb")).alias("matches")))
+        self.links = cut(pairs.select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b"), F.col("score").alias("matches")))
 
     def membership(self) -> DataFrame:
         """(key, rep, n_links) of every row: its class, named by its least key, and with how many other rows it

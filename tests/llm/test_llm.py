@@ -334,6 +334,15 @@ def test_scan_noise_and_repair(spark):
     assert scans.noise_lines(scans.scanned_pages(d.limit(0), "k", "f", "t"), "k").count() == 0
 
 
+def test_misreadings_are_learned_by_alignment():
+    common = ["gather", "kingdom", "picture", "village", "thunder", "ghost"]
+    rare = [w.replace("g", "q", 1) for w in ("gather", "kingdom", "village", "ghost")] + ["piclure", "mountqin", "qather"]
+    good = [(w, 100) for w in [*common, "mountain"]]
+    assert scans.aligned_misreadings([(w, 1) for w in rare], good, 4) == [("q", "g")]
+    assert scans.aligned_misreadings([(w, 50) for w in rare], good, 4) == [] == scans.aligned_misreadings([], [], 1)
+    assert "village" in scans.undone("villaqe", [("q", "g")]) and "village" not in scans.undone("villaqe")
+
+
 def test_misreadings_are_undone():
     assert {"which", "turn", "time"} <= {w for x in ("wbich", "tum", "tirne") for w in scans.undone(x)} and scans.undone("xyz") == []
 

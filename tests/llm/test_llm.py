@@ -373,3 +373,21 @@ def test_indented_lines_begin_pieces(text):
 def test_indented_remarks_are_no_headings():
     places, depth = splitting.boundaries(b"   # Head\nx = 1\n    # a remark\n\t# another\n  ## Second\n")
     assert [d for d in depth if d < splitting.BLOCK] == [2]
+
+
+def test_queries_keep_their_invariants(spark):
+    from foliospark.llm import queries
+
+    data = "/root/testdata/sf0.001"
+    run = lambda name: queries.QUERIES[name](spark, data).cache()
+    noise = run("p3_found")
+    assert noise.count() == noise.distinct().count() > 0 and {r.kind for r in noise.select("kind").distinct().collect()} <= {"header", "page_no", "hyphen", "ocr"}
+    alone = noise.filter("kind in ('header', 'page_no')").join(noise.withColumnRenamed("kind", "other"), ["extract_id", "line_no"]).filter("kind <> other")
+    assert alone.count() == 0
+    assert noise.select("extract_id").distinct().join(run("p3_text"), "extract_id", "left_anti").count() == 0
+    fill = run("p6_fill").collect()
+    assert all(r.least <= r.containers <= 1.05 * r.least + 1 and r.fullest <= r.max_tokens for r in fill) and len(fill) == 2
+    leaks_ = run("p7_overlap")
+    assert {(r.doc_id, r.item_id) for r in leaks_.collect()} == {tuple(r) for r in run("p7_found").collect()} and leaks_.filter("passage_run < 12 or question_share > 1").count() == 0
+    pieces = run("p8_split")
+    assert pieces.select("doc_id", "max_tokens", "piece").distinct().count() == pieces.count() and pieces.filter("tokens > max_tokens").count() == 0

@@ -40,9 +40,17 @@ def test_query_equals_sql(spark, duck, name):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+KEYS = {"chunk_markdown": ["extract_id", "chunk_index"], "index_extracts": ["vector_id"]}
+
+
 @pytest.mark.parametrize("name", [q for q in entry.queries() if q not in entry.oracle_sql()])
-def test_query_without_sql_runs(spark, name):
-    assert entry.queries()[name](spark, DATA).count() >= 0
+def test_query_without_sql_has_whole_rows(spark, name):
+    df = entry.queries()[name](spark, DATA).cache()
+    n = df.count()
+    assert n > 0 and len(set(df.columns)) == len(df.columns)
+    key = KEYS.get(name, df.columns)
+    assert df.select(key).distinct().count() == n
+    assert df.filter(df[key[0]].isNull()).count() == 0
 
 
 def test_entry(spark):

@@ -179,7 +179,7 @@ class NearDuplicates:
         copies = self.classes.select("tab", F.col("rep").alias("id"), "copies")
         both = self.links.select("tab", F.col("id_a").alias("rep"), F.col("id_b").alias("id")).union(self.links.select("tab", F.col("id_b").alias("rep"), F.col("id_a").alias("id")))
         near = salted_join(both, copies, ["tab", "id"], F.col("rep"), 4).groupBy("tab", "rep").agg(F.sum("copies").alias("near"))
-        of = copies.withColumnRenamed("id", "rep").withColumn("node", node("rep")).join(roots, "node", "left").join(near, ["tab", "rep"], "left")
+        of = copies.withColumnRenamed("id", "rep").withColumn("node", node("rep")).join(roots.hint("merge"), "node", "left").join(near.hint("merge"), ["tab", "rep"], "left")
         group = F.coalesce(F.element_at(F.split("root", ":"), -1).cast("long"), F.col("rep"))
         of = of.select("tab", "rep", group.alias("group_id"), (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
         return salted_join(self.members, of, ["tab", "rep"], F.col("id")).select("tab", "id", "group_id", "n_links")

@@ -110,9 +110,10 @@ def manifest_yaml(rows: DataFrame, title: str, head: tuple[str, str] = ("Files o
 
 def sampled(pages: DataFrame, doc: str, index: str, sample: int = PAGE_SAMPLE) -> DataFrame:
     """``pages`` with ``page_count`` and only an evenly spaced sample of each document's pages: all of up to ``sample``,
-    else those at floor(k n / sample)."""
+    else those at floor(k n / sample). Pages that come with their ``page_count`` aren't counted again."""
     # A window, not a join with the counts: what follows groups by document too, so all of it takes one shuffle.
-    pages = pages.withColumn("page_count", F.max(index).over(Window.partitionBy(doc)) + 1)
+    if "page_count" not in pages.columns:
+        pages = pages.withColumn("page_count", F.max(index).over(Window.partitionBy(doc)) + 1)
     k = F.ceil(F.col(index) * sample / F.col("page_count"))
     chosen = (F.col("page_count") <= sample) | ((F.floor(k * F.col("page_count") / sample) == F.col(index)) & (k < sample))
     return pages.filter(chosen)
@@ -122,14 +123,15 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), X.strip), lambda x: x != "")
 
 
-def page_metrics(pages: DataFrame, doc: str, index: str = "i", sample: int = PAGE_SAMPLE) -> DataFrame:
+def page_metrics(pages: DataFrame, doc: str, index: str = "i", sample: int = PAGE_SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row a document with what a sample of its pages tells.
 
-    ``pages`` has (doc, i from 0, text) and, where known, width, height, fonts ARRAY<STRING>, images
+    ``pages`` has (doc, i from 0, text) and, where known, page_count, width, height, fonts ARRAY<STRING>, images
     ARRAY<STRUCT<x0,y0,x1,y1>> and label. Null texts count as empty. Shares are of the sampled pages, rounded half even.
+    Columns in ``keep``, which are the same on all pages of a document, stay.
     """
-    have = {"width", "height", "fonts", "images", "label"} & set(pages.columns)
-    pages = pages.select(doc, index, "text", *sorted(have))
+    have = {"page_count", "width", "height", "fonts", "images", "label"} & set(pages.columns)
+    pages = pages.select(doc, index, "text", *sorted(have), *keep)
     rows = sampled(pages, doc, index, sample).withColumn("_t", F.coalesce("text", F.lit(""))).withColumn("_l", _lines(F.col("_t")))
     ends = F.concat(F.slice("_l", 1, 3), F.slice("_l", F.greatest(F.size("_l") - 2, F.lit(1)), 3))
     printed = F.try_element_at(F.filter(F.transform(F.filter(ends, lambda x: x.rlike(r"^\d{1,9}$")), lambda x: x.cast("int")), lambda n: (n > 0) & (n <= F.col("page_count"))), F.lit(1))
@@ -140,10 +142,10 @@ def page_metrics(pages: DataFrame, doc: str, index: str = "i", sample: int = PAG
         doc, "page_count", F.col(index).alias("_i"), F.length(X.strip(F.col("_t"))).alias("chars"), F.size("_l").alias("lines"),
         F.size(F.filter("_l", lambda x: x.rlike(r"[a-z]-$"))).alias("cut"), F.regexp_count("_t", F.lit("[ﬀ-ﬆ]")).alias("ligatures"),
         (F.col(index) + 1 - printed).alias("offset"), covered.alias("covered"), label.alias("labelled"),
-        F.exists(fonts, lambda f: f.rlike(LATEX_FONT)).alias("latex"), F.exists(fonts, lambda f: f.rlike(MATH_FONT)).alias("maths"),
+        F.exists(fonts, lambda f: f.rlike(LATEX_FONT)).alias("latex"), F.exists(fonts, lambda f: f.rlike(MATH_FONT)).alias("maths"), *keep,
     )
     share = lambda c, digits=2: F.bround(F.avg(c.cast("double")), digits)
-    out = one.groupBy(doc).agg(
+    out = one.groupBy(doc, *keep).agg(
         F.max("page_count").alias("pages"), F.count("*").alias("sampled_pages"), F.bround(F.avg("chars"), 0).cast("long").alias("avg_chars_per_page"), (F.avg("chars") >= CHARS_PER_PAGE).alias("has_text_layer"),
         share(F.col("covered") & (F.col("chars") < CHARS_PER_PAGE)).alias("image_only_page_share"), share(F.col("covered")).alias("full_page_image_share"), F.sum("ligatures").cast("long").alias("ligature_chars"),
         F.bround(F.sum("cut") / F.greatest(F.sum("lines"), F.lit(1)), 3).alias("hyphenated_line_share"), share(F.col("latex")).alias("latex_font_page_share"), share(F.col("maths")).alias("math_font_page_share"), F.bool_or("labelled").alias("page_labels"),

@@ -63,14 +63,24 @@ def pdf_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _kinds_of_pdf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page tables of PDFs with LaTeX fonts, with page images, and from several tools."""
     made = {"latex": {"fonts": ("ABCDEF+CMR10", "CMMI7"), "label": "A"}, "scan": {"covered": True, "producer": "ABBYY FineReader"}, "plain": {"producer": "calibre 7"}}
-    parts = [pdf.pdf_pages(_files(spark, sf_dir, "pdf", pages=2, **options)).withColumn("made", F.lit(name)) for name, options in made.items()]
-    return parts[0].union(parts[1]).union(parts[2]).withColumn("doc", F.concat_ws(":", "made", _id()))
+    rows = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", _lines(F.col("text")).alias("lines"))
+
+    def run(batches):  # all three of a document at once, so that its lines are read and cleaned once
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            for s in range(0, len(ids), 200):
+                some = range(s, min(s + 200, len(ids)))
+                lines = [b.column(1)[i].as_py() for i in some]
+                names = [f"in/{name}/doc_{ids[i]}.pdf" for i in some for name in made]
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([make.pdf(x, pages=2, **options) for x in lines for options in made.values()], pa.binary())], names=["path", "content"])
+
+    found = pdf.pdf_pages(rows.mapInArrow(run, "path string, content binary"))
+    return found.withColumn("doc", F.concat_ws(":", F.regexp_extract("path", r"in/(\w+)/", 1), _id()))
 
 
 def pdf_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements and origin of PDFs by their fonts, images, labels and metadata."""
-    found = _kinds_of_pdf(spark, sf_dir)
-    m = audit.page_metrics(found, "doc").join(found.groupBy("doc").agg(F.max("producer").alias("producer")), "doc")
+    m = audit.page_metrics(_kinds_of_pdf(spark, sf_dir), "doc", keep=("producer",))
     o = audit.origin(F.col("producer"), F.col("full_page_image_share"), F.col("avg_chars_per_page"), F.col("latex_font_page_share"))
     return m.select("doc", "pages", "avg_chars_per_page", "has_text_layer", "image_only_page_share", "full_page_image_share", "latex_font_page_share", "math_font_page_share", "page_labels", o["origin"].alias("origin"))
 

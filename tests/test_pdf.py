@@ -1,6 +1,7 @@
 import pytest
 
 from foliospark.operators import audit
+from foliospark.plans import readers
 from foliospark.sources import files, formats, make, pdf
 
 LINES = ["Erste Zeile (mit Klammern)", "second line, naïve Ω 你", "third"]
@@ -46,3 +47,25 @@ def test_pages_of_files_are_measured(spark):
     assert pdf.pdf_outline(spark.createDataFrame(rows, "path string, content binary")).count() == 0
     docs = files.extract(spark.createDataFrame(rows, "path string, content binary").selectExpr("concat(path, '.pdf') as path", "content"))
     assert {r.path: bool(r.error) for r in docs.collect()} == {"scan.pdf": True, "tex.pdf": False, "bad.pdf": True, "none.pdf": True, "locked.pdf": True}
+
+
+def test_audited_pdfs_are_made_and_read_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "one\ntwo"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    scans = []
+    read = readers.texts
+    monkeypatch.setattr(readers, "texts", lambda *a: scans.append(a) or read(*a))
+    out = readers.pdf_audit(spark, str(tmp_path))
+    assert {(r.doc, r.origin) for r in out.collect()} == {(f"{k}:{i}", o) for k, o in (("latex", "typeset"), ("scan", "scan_image_only"), ("plain", "converted")) for i in (1, 2)}
+    assert len(scans) == 1 and out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2  # one makes, one reads
+
+
+def test_pages_with_their_number_take_no_window(spark):
+    found = pdf.pdf_pages(spark.createDataFrame([("a", make.pdf(["x"] * 90, pages=90))], "path string, content binary"))
+    assert {r.page_count for r in found.collect()} == {90}
+    m = audit.page_metrics(found, "path", keep=("producer",))
+    assert m.select("pages", "sampled_pages", "producer").collect() == [(90, 40, "maker")] and "Window" not in m._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_odd_values_are_parsed():
+    assert pdf.parse(b" % ] x\n[<4 1> (a(b)\\051) /A#20b 3 0 R -.5 true <</K [1]>> ]", 0)[0] == [b"A", b"a(b))", "A b", pdf.Ref(3), -0.5, b"true", {"K": [1.0]}]
+    assert pdf.parse(b"<</A [1 2", 0)[0] == {"A": [1.0, 2.0]} and pdf.parse(b"<4>", 0)[0] == b"@"

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,11 +20,11 @@ from ..operators.joins import salted_join
 from ..session import cut
 from .scanlines import BODY, HYPHENS, MISREAD, LineModel, trained_model
 
-SAMPLE = 600  # clean texts that the line model's training pages are laid out from, at most
+TOGETHER = 600  # texts, about, that one part of the line model is trained on; with fewer clean ones scans are trained on too
+FIXED = 1 << 32  # what weights are multiplied by, so that their sums are the same in any order
 LEAST_GOOD = 3  # occurrences of a word that another may be a misreading of
 LEAST_LETTERS = 2  # of a word that may be misread
 RATIO = 8  # times that the right word occurs for once that the misread one does
-ALIGNED = 20_000  # rare and common words, each, that misreadings are learned from, at most
 LEARNED = 5  # rare words that must show a misreading
 CLEAN_SHARE = 0.05  # of a misread word's occurrences, those in clean text at most
 ENDS = frozenset(HYPHENS)
@@ -58,10 +59,25 @@ def undone(word: str, misread: list[tuple[str, str]] = MISREAD) -> list[str]:
 
 
 def _model(texts: DataFrame) -> LineModel:
-    # A bounded training sample, the same every time: the texts of smallest hash, those of scans only where there are
-    # not enough others.
-    some = texts.filter(F.length("text") > 300).orderBy("scan", F.xxhash64("text"), "text").select("text").limit(SAMPLE).collect()
-    return trained_model(sorted(r.text for r in some))
+    """The line model of all clean texts, of scans too where there are few others. Texts are dealt out by hash into parts
+    of about ``TOGETHER``, each of which trains weights of its own; the model has their mean."""
+    long = texts.filter(F.length("text") > 300)
+    n = {r.scan: r.n for r in long.groupBy("scan").agg(F.count("*").alias("n")).collect()}
+    if n.get(False, 0) >= TOGETHER:
+        long, n = long.filter("not scan"), {False: n[False]}
+    parts = -(-sum(n.values()) // TOGETHER)
+    if parts == 0:
+        return trained_model([])
+
+    def train(group: pa.Table) -> pa.Table:
+        model = trained_model(sorted(group.column("text").to_pylist()), 1 + group.column("part")[0].as_py())
+        row = np.rint(model.numbers() * FIXED).astype(np.int64)
+        return pa.table({"k": pa.array(np.arange(len(row)), pa.int32()), "w": pa.array(row)})
+
+    dealt = long.select(F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int").alias("part"), "text").repartition(parts, "part")
+    trained = dealt.groupBy("part").applyInArrow(train, "k int, w long")
+    rows = sorted((r.k, r.w, r.n) for r in trained.groupBy("k").agg(F.sum("w").alias("w"), F.count("*").alias("n")).collect())
+    return LineModel.of_numbers(np.array([w / n for _, w, n in rows]) / FIXED)
 
 
 def _cut_end(line: str) -> re.Match | None:
@@ -169,12 +185,35 @@ def aligned_misreadings(rare: list[tuple[str, int]], good: list[tuple[str, int]]
     return sorted(pair for pair, have in words.items() if len(have) >= least)
 
 
+def _around(words: DataFrame, word: str, number: str, between: str) -> DataFrame:
+    """(gap, word, number, between) of each gap of one or two letters of each word: what is around it and in it."""
+
+    def run(batches):
+        for b in batches:
+            at, gaps, within = [], [], []
+            for i, w in enumerate(b.column(0).to_pylist()):
+                for (left, right), inside in _gaps(w):
+                    at.append(i), gaps.append(f"{left} {right}"), within.append(inside)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(gaps, pa.string()), b.column(0).take(at), b.column(1).take(at), pa.array(within, pa.string())], names=["gap", word, number, between])
+
+    return words.select(word, number).mapInArrow(run, f"gap string, {word} string, {number} long, {between} string")
+
+
+def aligned(rare: DataFrame, good: DataFrame, least: int = LEARNED) -> DataFrame:
+    """(read, printed) as ``aligned_misreadings`` finds them among ``rare(word, n)`` and ``good(maybe, times)``, all of
+    both: words meet that are equal but for a gap."""
+    met = _around(rare, "word", "n", "read").join(_around(good, "maybe", "times", "printed").hint("merge"), "gap").filter(F.col("times") >= RATIO * F.col("n"))
+    best = met.groupBy("word").agg(F.min(F.struct((F.length("read") + F.length("printed")).alias("letters"), (-F.col("times")).alias("t"), "maybe", "read", "printed")).alias("b"))
+    return best.groupBy("b.read", "b.printed").agg(F.count("*").alias("words")).filter(F.col("words") >= least).select("read", "printed")
+
+
 def _misreadings(rare: DataFrame, good: DataFrame) -> list[tuple[str, str]]:
-    """The usual misreadings and those that this corpus shows, fitted on the commonest words and on rare ones chosen by
-    hash, ``ALIGNED`` of each at most."""
-    few = rare.filter((F.col("n") > 0) & F.col("word").rlike(r"^[\p{L}\p{N}]{4,}$")).orderBy(F.xxhash64("word"), "word").limit(ALIGNED).collect()
-    many = good.filter((F.length("maybe") >= 4) & (F.col("times") >= RATIO * LEAST_GOOD)).orderBy(F.col("times").desc(), "maybe").limit(ALIGNED).collect()
-    learned = aligned_misreadings([(r.word, r.n) for r in few], [(r.maybe, r.times) for r in many])
+    """The usual misreadings and those that this corpus shows, in all its rare and common words. The driver holds them
+    all, at most one for each two pairs of letters."""
+    few = rare.filter((F.col("n") > 0) & F.col("word").rlike(r"^[\p{L}\p{N}]{4,}$"))
+    many = good.filter((F.length("maybe") >= 4) & (F.col("times") >= RATIO * LEAST_GOOD))
+    learned = sorted((r["read"], r["printed"]) for r in aligned(few, many).collect())
     return [*MISREAD, *(pair for pair in learned if pair not in MISREAD)]
 
 
@@ -182,11 +221,14 @@ def corrections(counts: DataFrame, asked: DataFrame) -> DataFrame:
     """(word, right): for each misread word of ``asked(word)``, the commonest word that it may have been."""
 
     def run(batches):
+        starting = defaultdict(list)
+        for pair in misread:
+            starting[pair[0][0]].append(pair)
         for b in batches:
             words, n, maybe = [], [], []
             for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if len(w) >= LEAST_LETTERS:
-                    for u in undone(w, misread):
+                    for u in undone(w, [pair for c in set(w) for pair in starting.get(c, ())]):
                         words.append(w), n.append(c), maybe.append(u)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64()), pa.array(maybe, pa.string())], names=["word", "n", "maybe"])
 
@@ -291,8 +333,8 @@ def scanned_pages(df: DataFrame, key: str, source_file: str, text: str, title: C
     """(id, text, labels, right, known) of every scanned text of ``df``; see ``noise_lines`` and ``repaired``.
 
     Keys must be unique; rows without key or text have no row. ``scan`` says which rows are scans; without it
-    ``is_scan`` does by the file's name. Texts of other files only serve as clean text for word counts and, a bounded
-    sample, for the line model.
+    ``is_scan`` does by the file's name. Texts of other files only serve as clean text for word counts and for the line
+    model.
     """
     texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), (is_scan(F.col(source_file)) if scan is None else F.coalesce(scan, F.lit(False))).alias("scan"), (title if title is not None else F.lit(None).cast("string")).alias("title"))
     texts = texts.filter("id is not null and text <> ''")

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import pyarrow.parquet as pq
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -343,6 +344,37 @@ def test_misreadings_are_learned_by_alignment():
     assert "village" in scans.undone("villaqe", [("q", "g")]) and "village" not in scans.undone("villaqe")
 
 
+def test_all_words_show_misreadings(spark):
+    good = [(f"{a}g{b}ing", 100 + i) for i, (a, b) in enumerate((a, b) for a in "abcdefghk" for b in "aeiou")] + [("other", 500), ("plain", 7)]
+    rare = [(w.replace("g", "q", 1), 1 + n % 40) for w, n in good] + [("zzzz", 1)]
+    found = scans.aligned(spark.createDataFrame(rare, "word string, n long"), spark.createDataFrame(good, "maybe string, times long"), 3)
+    assert sorted(map(tuple, found.collect())) == scans.aligned_misreadings(rare, good, 3) != []
+
+
+def test_line_model_comes_from_all_clean_texts(spark, monkeypatch):
+    monkeypatch.setattr(scans, "TOGETHER", 8)
+    prose = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) > 300").orderBy("doc_id").limit(30).collect()]
+    texts = spark.createDataFrame([(i, t, i % 10 == 0) for i, t in enumerate(prose)], "id long, text string, scan boolean")
+    dealt: dict[int, list[str]] = {}
+    for r in texts.filter("not scan").selectExpr("cast(pmod(xxhash64(id, text), 4) as int) as part", "text").collect():
+        dealt.setdefault(r.part, []).append(r.text)
+    assert sum(map(len, dealt.values())) == 27 and len(dealt) > 1
+    mean = np.mean([scanlines.trained_model(sorted(t), 1 + part).numbers() for part, t in dealt.items()], 0)
+    model = scans._model(texts.repartition(3))
+    assert np.allclose(model.numbers(), mean, atol=1e-6) and (model.numbers() == scans._model(texts.coalesce(1)).numbers()).all()
+
+
+def test_labels_found_in_training_are_the_best():
+    maker, model = scanlines.PageMaker(5), scanlines.LineModel()
+    rng = np.random.default_rng(1)
+    model.weights, model.pairs = rng.integers(-3, 4, model.weights.shape).astype(float), rng.integers(-3, 4, model.pairs.shape).astype(float)
+    for _ in range(20):
+        feats = scanlines.features(maker.document(["Some words of a paragraph that is long enough. " * 20] * 3, "A title", "Other")[0])
+        each = [model._which(f) for f in feats]
+        starts = np.cumsum([0, *(len(f) for f in each[:-1])])
+        assert model._path(np.array(sum(each, [])), starts, [scanlines.BREAK_AT in f for f in each]) == model.best([feats])[0]
+
+
 def test_misreadings_are_undone():
     assert {"which", "turn", "time"} <= {w for x in ("wbich", "tum", "tirne") for w in scans.undone(x)} and scans.undone("xyz") == []
 

@@ -108,12 +108,12 @@ def manifest_yaml(rows: DataFrame, title: str, head: tuple[str, str] = ("Files o
     return "".join(f"# {h}\n" for h in head) + yaml.safe_dump(listed, sort_keys=False, allow_unicode=True, width=120)
 
 
-def sampled(pages: DataFrame, doc: str, index: str, sample: int = PAGE_SAMPLE) -> DataFrame:
+def sampled(pages: DataFrame, doc: str, index: str, sample: int = PAGE_SAMPLE, count: str | None = None) -> DataFrame:
     """``pages`` with ``page_count`` and only an evenly spaced sample of each document's pages: all of up to ``sample``,
-    else those at floor(k n / sample). Pages that come with their ``page_count`` aren't counted again."""
+    else those at floor(k n / sample). With the column ``count``, which
+    gives each page the number of its document's pages, they aren't counted again."""
     # A window, not a join with the counts: what follows groups by document too, so all of it takes one shuffle.
-    if "page_count" not in pages.columns:
-        pages = pages.withColumn("page_count", F.max(index).over(Window.partitionBy(doc)) + 1)
+    pages = pages.withColumn("page_count", F.col(count) if count else F.max(index).over(Window.partitionBy(doc)) + 1)
     k = F.ceil(F.col(index) * sample / F.col("page_count"))
     chosen = (F.col("page_count") <= sample) | ((F.floor(k * F.col("page_count") / sample) == F.col(index)) & (k < sample))
     return pages.filter(chosen)
@@ -123,16 +123,16 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), X.strip), lambda x: x != "")
 
 
-def page_metrics(pages: DataFrame, doc: str, index: str = "i", sample: int = PAGE_SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
+def page_metrics(pages: DataFrame, doc: str, index: str = "i", sample: int = PAGE_SAMPLE, keep: tuple[str, ...] = (), count: str | None = None) -> DataFrame:
     """One row a document with what a sample of its pages tells.
 
-    ``pages`` has (doc, i from 0, text) and, where known, page_count, width, height, fonts ARRAY<STRING>, images
+    ``pages`` has (doc, i from 0, text) and, where known, width, height, fonts ARRAY<STRING>, images
     ARRAY<STRUCT<x0,y0,x1,y1>> and label. Null texts count as empty. Shares are of the sampled pages, rounded half even.
-    Columns in ``keep``, which are the same on all pages of a document, stay.
+    Columns in ``keep``, which are the same on all pages of a document, stay; ``count`` is as in ``sampled``.
     """
-    have = {"page_count", "width", "height", "fonts", "images", "label"} & set(pages.columns)
-    pages = pages.select(doc, index, "text", *sorted(have), *keep)
-    rows = sampled(pages, doc, index, sample).withColumn("_t", F.coalesce("text", F.lit(""))).withColumn("_l", _lines(F.col("_t")))
+    have = {"width", "height", "fonts", "images", "label"} & set(pages.columns)
+    pages = pages.select(doc, index, "text", *sorted(have), *keep, *([count] if count else []))
+    rows = sampled(pages, doc, index, sample, count).withColumn("_t", F.coalesce("text", F.lit(""))).withColumn("_l", _lines(F.col("_t")))
     ends = F.concat(F.slice("_l", 1, 3), F.slice("_l", F.greatest(F.size("_l") - 2, F.lit(1)), 3))
     printed = F.try_element_at(F.filter(F.transform(F.filter(ends, lambda x: x.rlike(r"^\d{1,9}$")), lambda x: x.cast("int")), lambda n: (n > 0) & (n <= F.col("page_count"))), F.lit(1))
     fonts = F.transform("fonts", lambda f: F.regexp_replace(f, r"^[^+]*\+", "")) if "fonts" in have else F.array().cast("array<string>")

@@ -80,7 +80,7 @@ def _kinds_of_pdf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pdf_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements and origin of PDFs by their fonts, images, labels and metadata."""
-    m = audit.page_metrics(_kinds_of_pdf(spark, sf_dir), "doc", keep=("producer",))
+    m = audit.page_metrics(_kinds_of_pdf(spark, sf_dir), "doc", keep=("producer",), count="page_count")
     o = audit.origin(F.col("producer"), F.col("full_page_image_share"), F.col("avg_chars_per_page"), F.col("latex_font_page_share"))
     return m.select("doc", "pages", "avg_chars_per_page", "has_text_layer", "image_only_page_share", "full_page_image_share", "latex_font_page_share", "math_font_page_share", "page_labels", o["origin"].alias("origin"))
 

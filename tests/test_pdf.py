@@ -62,7 +62,7 @@ def test_audited_pdfs_are_made_and_read_once(spark, tmp_path, monkeypatch):
 def test_pages_with_their_number_take_no_window(spark):
     found = pdf.pdf_pages(spark.createDataFrame([("a", make.pdf(["x"] * 90, pages=90))], "path string, content binary"))
     assert {r.page_count for r in found.collect()} == {90}
-    m = audit.page_metrics(found, "path", keep=("producer",))
+    m = audit.page_metrics(found, "path", keep=("producer",), count="page_count")
     assert m.select("pages", "sampled_pages", "producer").collect() == [(90, 40, "maker")] and "Window" not in m._jdf.queryExecution().optimizedPlan().toString()
 
 
